@@ -141,7 +141,7 @@ def brevity_words(spark: SparkSession, sf: str) -> DataFrame:
 
 def brevity_counts(spark: SparkSession, sf: str) -> DataFrame:
     rows = brevity.with_vocabulary(brief_input(spark, sf)).select("doc_id", F.explode("vocabulary").alias("v"))
-    return rows.selectExpr("doc_id", "v.word AS word", "CAST(v.n AS BIGINT) AS n")
+    return rows.selectExpr("doc_id", "v.word AS word", "CAST(size(v.places) AS BIGINT) AS n")
 
 
 def brevity_dict(spark: SparkSession, sf: str) -> DataFrame:

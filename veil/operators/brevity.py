@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veil.functions.pin import pinned
+
 _EDGES = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 
 
@@ -22,68 +24,65 @@ def words(text: Column) -> Column:
 
 
 def with_vocabulary(docs: DataFrame, text: str = "text", out: str = "vocabulary") -> DataFrame:
-    """Add columns ``words`` and ``out``, the distinct words with count and first place.
+    """Add columns ``words`` and ``out``, the distinct words with count and places.
 
-    ``out`` is ``array<struct<first int, word string, n int>>`` ordered by first
-    place (from 0).
+    ``out`` is ``array<struct<first int, word string, places array<int>>>`` ordered
+    by first place (from 0).
     """
     sorted_, starts = f"_{out}_sorted", f"_{out}_starts"
-    return (
-        docs.withColumn("words", words(F.col(text)))
-        .withColumn(sorted_, F.expr(
-            "array_sort(transform(words, (w, i) -> named_struct('word', w, 'place', i)))"
-        ))
-        # Where each run of equal words begins in the sorted array.
-        .withColumn(starts, F.expr(
-            f"filter(transform({sorted_}, (x, i) -> "
-            f"IF(i = 0 OR get({sorted_}, i - 1).word <> x.word, i, -1)), i -> i >= 0)"
-        ))
-        .withColumn(out, F.expr(
-            f"array_sort(transform({starts}, (s, k) -> named_struct("
-            f"'first', get({sorted_}, s).place, 'word', get({sorted_}, s).word, "
-            f"'n', coalesce(get({starts}, k + 1), size({sorted_})) - s)))"
-        ))
-        .drop(sorted_, starts)
-    )
+    spoken = pinned(docs, words=words(F.col(text)))
+    ordered = pinned(spoken, **{sorted_: F.expr(
+        "sort_array(transform(words, (w, i) -> named_struct('word', w, 'place', i)))"
+    )})
+    # Where each run of equal words begins in the sorted array.
+    runs = pinned(ordered, **{starts: F.expr(
+        f"filter(transform({sorted_}, (x, i) -> "
+        f"IF(i = 0 OR get({sorted_}, i - 1).word <> x.word, i, -1)), i -> i >= 0)"
+    )})
+    return pinned(runs, **{out: F.expr(
+        f"sort_array(transform({starts}, (s, k) -> named_struct("
+        f"'first', get({sorted_}, s).place, 'word', get({sorted_}, s).word, "
+        f"'places', transform(slice({sorted_}, s + 1, "
+        f"coalesce(get({starts}, k + 1), size({sorted_})) - s), x -> x.place))))"
+    )}).drop(sorted_, starts)
 
 
 def with_dictionary(docs: DataFrame, text: str = "text", out: str = "dictionary") -> DataFrame:
-    """Add column ``out``: ``array<struct<abbr, word>>`` in order of first appearance.
+    """Add column ``out``: ``array<struct<abbr, word, places>>`` by first appearance.
 
     Words that occur once or start with an ASCII digit are not abbreviated.
     """
-    initials, ranked = f"_{out}_initials", f"_{out}_ranked"
-    return (
-        with_vocabulary(docs, text)
-        .withColumn(initials, F.expr(
-            "array_sort(transform(filter(vocabulary, v -> v.n > 1 AND "
-            "NOT rlike(v.word, '^[0-9]')), v -> named_struct("
-            "'initial', left(v.word, 1), 'first', v.first, 'word', v.word)))"
-        ))
-        # Sorted by initial, then by first place: the number of a word is its
-        # distance from the first word with the same initial.
-        .withColumn(ranked, F.expr(f"transform({initials}, v -> v.initial)"))
-        .withColumn(out, F.expr(
-            f"transform(array_sort(transform({initials}, (v, i) -> named_struct("
-            f"'first', v.first, 'word', v.word, 'abbr', concat(v.initial, "
-            f"i + 2 - array_position({ranked}, v.initial))))), "
-            "v -> named_struct('abbr', v.abbr, 'word', v.word))"
-        ))
-        .drop(initials, ranked)
-    )
+    listed, initials = f"_{out}_listed", f"_{out}_initials"
+    # Sorted by initial, then by first place: the number of a word is its
+    # distance from the first word with the same initial.
+    known = pinned(with_vocabulary(docs, text), **{listed: F.expr(
+        "sort_array(transform(filter(vocabulary, v -> size(v.places) > 1 AND "
+        "NOT rlike(v.word, '^[0-9]')), v -> named_struct("
+        "'initial', left(v.word, 1), 'first', v.first, 'word', v.word, 'places', v.places)))"
+    )})
+    known = pinned(known, **{initials: F.expr(f"transform({listed}, v -> v.initial)")})
+    return pinned(known, **{out: F.expr(
+        f"transform(sort_array(transform({listed}, (v, i) -> named_struct("
+        f"'first', v.first, 'word', v.word, 'places', v.places, 'abbr', concat(v.initial, "
+        f"i + 2 - array_position({initials}, v.initial))))), "
+        "v -> named_struct('abbr', v.abbr, 'word', v.word, 'places', v.places))"
+    )}).drop(listed, initials)
 
 
 def with_brief_text(docs: DataFrame, text: str = "text", out: str = "brief") -> DataFrame:
-    """Add columns ``dictionary`` and ``out``, the text with abbreviated words."""
-    lookup = f"_{out}_lookup"
-    return (
-        with_dictionary(docs, text)
-        .withColumn(lookup, F.expr(
-            "map_from_arrays(transform(dictionary, d -> d.word), "
-            "transform(dictionary, d -> d.abbr))"
-        ))
-        .withColumn(out, F.expr(
-            f"array_join(transform(words, w -> coalesce(try_element_at({lookup}, w), w)), ' ')"
-        ))
-        .drop(lookup)
+    """Add columns ``dictionary`` and ``out``, the text with abbreviated words.
+
+    Every word contributes its places, written short or in full; putting the
+    places in order gives the text without looking any word up.
+    """
+    pieces = F.expr(
+        "sort_array(concat("
+        "flatten(transform(dictionary, d -> transform(d.places, "
+        "p -> named_struct('place', p, 'piece', d.abbr)))), "
+        "flatten(transform(filter(vocabulary, v -> size(v.places) = 1 OR "
+        "rlike(v.word, '^[0-9]')), v -> transform(v.places, "
+        "p -> named_struct('place', p, 'piece', v.word))))))"
+    )
+    return with_dictionary(docs, text).withColumn(
+        out, F.array_join(F.transform(pieces, lambda x: x["piece"]), " ")
     )

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veil.functions import masking
+from veil.functions.pin import pinned
 from veil.functions.text import literal
 from veil.operators.rules import (
     ALLOWED_SHAPES,
@@ -153,13 +154,9 @@ def with_found(
     operators = tuple(operators)
     hits = f"_{out}_hits"
     rows, scan = scanned(df, text)
-    return (
-        rows.withColumn(
-            hits, F.array_sort(F.coalesce(candidates(scan, operators, spaced), F.array()))
-        )
-        .withColumn(out, resolve(hits, operators))
-        .select(*df.columns, out)
-    )
+    sorted_hits = F.sort_array(F.coalesce(candidates(scan, operators, spaced), F.array()))
+    found = pinned(rows, **{hits: sorted_hits})
+    return pinned(found, **{out: resolve(hits, operators)}).select(*df.columns, out)
 
 
 def detect(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veil.functions.pin import pinned
 from veil.functions.text import wrapped
 
 RAW_PAIRS = "array<struct<raw_key string, raw_value string>>"
@@ -108,7 +109,7 @@ def settle(indexed: str) -> Column:
 
 def in_key_order(pairs: Column) -> Column:
     """Sorted by value, then by key, then by place in the object (repeated keys)."""
-    return F.array_sort(F.transform(pairs, lambda p, i: F.struct(
+    return F.sort_array(F.transform(pairs, lambda p, i: F.struct(
         p["value"].alias("value"), p["raw_key"].alias("raw_key"), i.alias("place"),
         p["replacement"].alias("replacement"),
     )))
@@ -121,7 +122,7 @@ def usable(pairs: Column) -> Column:
 
 def in_order(pairs: Column) -> Column:
     """Order of application: longest value first, ties by value."""
-    keyed = F.array_sort(F.transform(pairs, lambda p: F.struct(
+    keyed = F.sort_array(F.transform(pairs, lambda p: F.struct(
         (-F.char_length(p["value"])).alias("rank"), p["value"].alias("value"),
         p["replacement"].alias("replacement"),
     )))
@@ -141,11 +142,13 @@ def with_pairs(
     """
     content, found, indexed = (f"_{out}_{x}" for x in ("content", "found", "indexed"))
     no_pairs = F.array().cast("array<struct<value string, replacement string>>")
+    read = pinned(responses, **{content: first_content(F.col(response))})
+    read = pinned(read, **{found: redactions(F.col(content))})
+    read = pinned(
+        read, **{indexed: in_key_order(valid(orient(string_pairs(F.col(found))), tags))}
+    )
     return (
-        responses.withColumn(content, first_content(F.col(response)))
-        .withColumn(found, redactions(F.col(content)))
-        .withColumn(indexed, in_key_order(valid(orient(string_pairs(F.col(found))), tags)))
-        .withColumn(out, F.coalesce(in_order(usable(settle(indexed))), no_pairs))
+        pinned(read, **{out: F.coalesce(in_order(usable(settle(indexed))), no_pairs)})
         .withColumn(
             status,
             F.when(F.col(content).isNull(), NO_CONTENT)

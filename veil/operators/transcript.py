@@ -69,7 +69,7 @@ def transcripts(turns: DataFrame, turns_per_part: int = 256) -> DataFrame:
     session shorter than that has the single part 0.
     """
     lines = distinct_lines(turn_lines(turns))
-    ordered = F.array_sort(F.collect_list(F.struct("turn", "line")))
+    ordered = F.sort_array(F.collect_list(F.struct("turn", "line")))
     return (
         lines.withColumn("part", F.floor(F.col("turn") / turns_per_part).cast("bigint"))
         .groupBy("session_id", "part")

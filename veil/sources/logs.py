@@ -13,6 +13,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veil.functions.pin import pinned
 from veil.schema import (
     ARCHITECTURE,
     CHAT_GPT,
@@ -206,19 +207,17 @@ def with_log(envelopes: DataFrame, payload: str = "payload", out: str = "log") -
         for kind, shape in SHAPES.items()
     )
     typed = f"zip_with({raw}, {kinds}, (e, k) -> named_struct('kind', k, {fields}))"
-    return (
-        envelopes.withColumn(raw, entries(F.col(payload)))
-        .withColumn(kinds, F.expr(f"transform({raw}, e -> {kind_sql('e')})"))
-        .withColumn(
-            out, F.expr(f"CASE WHEN forall({kinds}, k -> k IS NOT NULL) THEN {typed} END")
-        )
-        .drop(raw, kinds)
-    )
+    split = pinned(envelopes, **{raw: entries(F.col(payload))})
+    known = pinned(split, **{kinds: F.expr(f"transform({raw}, e -> {kind_sql('e')})")})
+    whole = F.expr(f"CASE WHEN forall({kinds}, k -> k IS NOT NULL) THEN {typed} END")
+    return pinned(known, **{out: whole}).drop(raw, kinds)
 
 
 def entry_rows(envelopes: DataFrame, keys: list[str], payload: str = "payload") -> DataFrame:
     """One row per entry of every parseable log: keys, ``pos``, ``kind``, ``ambiguous_kind``."""
-    rows = envelopes.select(*keys, F.posexplode(entries(F.col(payload))).alias("pos", "entry"))
+    rows = envelopes.select(
+        *keys, F.posexplode_outer(entries(F.col(payload))).alias("pos", "entry")
+    ).where(F.col("pos").isNotNull())
     return rows.select(
         *keys, "pos", "entry", F.expr(kind_sql("entry")).alias("kind"),
         F.expr(ambiguous_sql("entry")).alias("ambiguous_kind"),
