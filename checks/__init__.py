@@ -5,6 +5,6 @@ read whole tables; inputs that the driver tables lack are derived from them
 row by row, by the same rules in both dialects.
 """
 
-from checks import detection, transcripts  # noqa: E402
+from checks import answers, detection, transcripts  # noqa: E402
 
-MODULES = (detection, transcripts)
+MODULES = (detection, transcripts, answers)

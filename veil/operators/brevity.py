@@ -13,14 +13,17 @@ from pyspark.sql import functions as F
 
 from veil.functions.pin import pinned
 
-_EDGES = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
+# White space in the Unicode sense (fixed values).
+_SPACE = (
+    r"\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+)
+# From the first to the last letter or number of a run without white space.
+_WORD = rf"([\p{{L}}\p{{N}}](?:[^{_SPACE}]*[\p{{L}}\p{{N}}])?)"
 
 
 def words(text: Column) -> Column:
     """Lower-case words in order, without punctuation at their ends."""
-    parts = F.split(text, r"(?U)\s+")
-    trimmed = F.transform(parts, lambda w: F.lower(F.regexp_replace(w, _EDGES, "")))
-    return F.filter(trimmed, lambda w: w != "")
+    return F.transform(F.regexp_extract_all(text, F.lit(_WORD), F.lit(1)), F.lower)
 
 
 def with_vocabulary(docs: DataFrame, text: str = "text", out: str = "vocabulary") -> DataFrame:
