@@ -255,12 +255,12 @@ def envelopes(spark: SparkSession, sf: str) -> DataFrame:
         ).alias("body"))
     )
     named = logs.selectExpr(
-        "session_id", "part", "session_id * 1000 + part AS seq", "body"
+        "session_id", "part", "session_id * 1000003 + part AS seq", "body"
     ).selectExpr("*", f"{_FAULTY} AS payload")
     return named.selectExpr(
         "session_id", "part",
         "CASE WHEN seq % 9 = 0 THEN NULL ELSE seq END AS seq",
-        "CASE WHEN seq % 9 = 0 THEN NULL ELSE timestamp_seconds(1704067200 + seq) END AS published",
+        "CASE WHEN seq % 9 = 0 THEN NULL ELSE timestamp_seconds(1704067200 + seq % 1000000) END AS published",
         f"concat('{TENANT}.{APPLICATION}.', CASE WHEN seq % 7 = 0 THEN 'other' ELSE '{SUBJECT}' END) AS subject",
         "CASE WHEN seq % 10 = 0 THEN NULL WHEN seq % 10 = 5 THEN map('session_log_name', '') "
         "ELSE map('session_log_name', concat('log-', CAST(session_id AS STRING), '-', CAST(part AS STRING))) END AS headers",
@@ -293,12 +293,12 @@ log_entries AS (
            'tool_calls', json_array(call))), 'time', 1.5))]) AS entry
     FROM log_parts WHERE turn % {PART} = 0)),
 log_bodies AS (
-  SELECT session_id, part, session_id * 1000 + part AS seq,
+  SELECT session_id, part, session_id * 1000003 + part AS seq,
     concat('[', string_agg(CAST(entry AS VARCHAR), ',' ORDER BY turn, slot), ']') AS body
   FROM log_entries GROUP BY session_id, part),
 envelopes AS (
   SELECT session_id, part, CASE WHEN seq % 9 = 0 THEN NULL ELSE seq END AS seq,
-    CASE WHEN seq % 9 = 0 THEN NULL ELSE 1704067200 + seq END AS published_s,
+    CASE WHEN seq % 9 = 0 THEN NULL ELSE 1704067200 + seq % 1000000 END AS published_s,
     concat('{TENANT}.{APPLICATION}.', CASE WHEN seq % 7 = 0 THEN 'other' ELSE '{SUBJECT}' END) AS subject,
     CASE WHEN seq % 10 = 0 THEN NULL WHEN seq % 10 = 5 THEN ''
       ELSE concat('log-', session_id, '-', part) END AS header,

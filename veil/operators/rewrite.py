@@ -33,6 +33,12 @@ def mask_tool_calls(calls: Column, pairs: Column) -> Column:
     ))
 
 
+def arguments_valid(calls: Column) -> Column:
+    """Whether the arguments of all calls are still JSON after the rewriting."""
+    return F.forall(calls, lambda c: c["function"]["arguments"].isNull()
+                    | F.try_parse_json(c["function"]["arguments"]).isNotNull())
+
+
 def mask_message(message: Column, pairs: Column, tool_calls: bool = True) -> Column:
     """Rewrite the content of a chat message and, if asked, its tool calls."""
     out = message.withField("content", apply_pairs(message["content"], pairs))
@@ -82,6 +88,7 @@ def log_texts(log: Column, scope: str = "all") -> Column:
 
     ``all`` takes the content of every chat message and interaction and the
     tool-call arguments, ``messages`` the content of chat messages only.
+    Arguments are JSON text, so their escaped breaks and quotes are undone first.
     """
     chat, chat_gpt = KIND_CHAT, KIND_INTERACTION
 
@@ -89,7 +96,12 @@ def log_texts(log: Column, scope: str = "all") -> Column:
         return F.array(e[chat]["content"])
 
     def arguments(message: Column) -> Column:
-        return F.transform(message["tool_calls"], lambda c: c["function"]["arguments"])
+        return F.transform(message["tool_calls"], lambda c: plain(c["function"]["arguments"]))
+
+    def plain(text: Column) -> Column:
+        for escaped, char in (("\\n", "\n"), ("\\t", "\t"), ('\\"', '"')):
+            text = F.replace(text, F.lit(escaped), F.lit(char))
+        return text
 
     def everything(e: Column) -> Column:
         inner = e[chat_gpt]["chat_gpt"]
