@@ -5,6 +5,6 @@ read whole tables; inputs that the driver tables lack are derived from them
 row by row, by the same rules in both dialects.
 """
 
-from checks import answers, detection, rewriting, transcripts  # noqa: E402
+from checks import answers, detection, outcomes, rewriting, transcripts  # noqa: E402
 
-MODULES = (rewriting, detection, transcripts, answers)
+MODULES = (rewriting, detection, transcripts, answers, outcomes)
