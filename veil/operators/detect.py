@@ -192,14 +192,12 @@ def best_operator(rows: DataFrame, operators: Iterable[Operator] = OPERATORS) ->
     names = F.create_map(*[F.lit(x) for op in operators for x in (op.priority, op.name)])
     return (
         rows.groupBy("session_id", "value")
-        .agg(F.min("priority").alias("priority"))
-        .withColumn("operator", names[F.col("priority")])
-        .withColumn(
-            "replacement",
-            masking.replacement(F.col("operator"), F.col("value"), operators),
+        .agg(names[F.min("priority")].alias("operator"))
+        .select(
+            "session_id", "value", "operator",
+            masking.replacement(F.col("operator"), F.col("value"), operators).alias("replacement"),
         )
         .where(F.col("replacement").isNotNull() & (F.col("value") != F.col("replacement")))
-        .select("session_id", "value", "operator", "replacement")
     )
 
 

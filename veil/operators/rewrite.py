@@ -13,16 +13,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veil.functions.pin import pinned
 from veil.operators.pairs import in_order
 from veil.schema import KIND_CHAT, KIND_INTERACTION
 from veil.sources.logs import SHAPES
+from veil.sources.tables import stored
 
 
 def apply_pairs(text: Column, pairs: Column) -> Column:
     """Replace every pair whose value occurs in ``text``, in the order given."""
-    present = F.filter(pairs, lambda p: F.contains(text, p["value"]))
+    return _replace_all(text, F.filter(pairs, lambda p: F.contains(text, p["value"])))
+
+
+def _replace_all(text: Column, pairs: Column) -> Column:
     return F.aggregate(
-        present, text, lambda acc, p: F.replace(acc, p["value"], p["replacement"])
+        pairs, text, lambda acc, p: F.replace(acc, p["value"], p["replacement"])
     )
 
 
@@ -132,7 +137,8 @@ SALTS = 32
 
 
 def _block(turn: str = "turn") -> Column:
-    return F.floor(F.col(turn) / BLOCK).cast("bigint").alias("block")
+    # A turn without a number belongs to the first block, so that it is masked too.
+    return F.coalesce(F.floor(F.col(turn) / BLOCK).cast("bigint"), F.lit(0)).alias("block")
 
 
 def _pair_array() -> Column:
@@ -154,37 +160,48 @@ def mask_turns(
     that is short (``max_pairs``). For a session with more, it is only the pairs
     that can occur in the block, see :func:`pairs_by_piece`. Both give the same
     result, because a text takes only the pairs that occur in it.
+
+    The pairs are written to the shared folder first: finding them is a pass
+    over all texts, several branches need them, and whether there is a session
+    with many pairs at all is then cheap to see.
     """
-    usable = pairs.where(
-        (F.col("value") != "") & (F.col("value") != F.col("replacement"))
-    ).select("session_id", "value", "replacement")
+    usable = stored(
+        pairs.where((F.col("value") != "") & (F.col("value") != F.col("replacement")))
+        .select("session_id", "value", "replacement"),
+        "pairs",
+    )
     crowded = (
         usable.groupBy("session_id").agg(F.count("*").alias("n"))
         .where(F.col("n") > max_pairs).select("session_id")
     )
+    blocks = turns.select("session_id", _block()).distinct()
+    if crowded.isEmpty():
+        by_block = blocks.join(usable.groupBy("session_id").agg(_pair_array()), "session_id")
+    else:
+        by_block = _pairs_of_blocks(turns, blocks, usable, crowded)
+    none = F.array().cast("array<struct<value string, replacement string>>")
+    joined = turns.withColumn("block", _block()).join(by_block, ["session_id", "block"], "left")
+    present = F.filter(F.coalesce("pairs", none), lambda p: F.contains(F.col("text"), p["value"]))
+    return pinned(joined, pairs=present).select(
+        *turns.columns,
+        _replace_all(F.col("text"), F.col("pairs")).alias("masked_text"),
+        F.size("pairs").cast("bigint").alias("n_pairs"),
+    )
+
+
+def _pairs_of_blocks(
+    turns: DataFrame, blocks: DataFrame, usable: DataFrame, crowded: DataFrame
+) -> DataFrame:
+    """Pairs per block where some sessions have too many pairs to collect."""
     salted = usable.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int"))
     all_salts = crowded.select(
         "session_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     )
     few = salted.join(all_salts, ["session_id", "salt"], "left_anti")
     many = salted.join(all_salts, ["session_id", "salt"], "left_semi").drop("salt")
-    blocks = turns.select("session_id", _block()).distinct()
-    by_block = blocks.join(
+    return blocks.join(
         few.groupBy("session_id").agg(_pair_array()), "session_id"
     ).unionByName(pairs_by_piece(turns, blocks, many))
-    none = F.array().cast("array<struct<value string, replacement string>>")
-    return (
-        turns.withColumn("block", _block())
-        .join(by_block, ["session_id", "block"], "left")
-        .withColumn("pairs", F.filter(
-            F.coalesce("pairs", none), lambda p: F.contains(F.col("text"), p["value"])
-        ))
-        .select(
-            *turns.columns,
-            apply_pairs(F.col("text"), F.col("pairs")).alias("masked_text"),
-            F.size("pairs").cast("bigint").alias("n_pairs"),
-        )
-    )
 
 
 def _pieces(text: Column, length: Column) -> Column:

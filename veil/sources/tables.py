@@ -28,6 +28,17 @@ def spread_if_small(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if size < SMALL_PER_CORE * cores else df
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the shared folder once and read it back.
+
+    For a result that several branches of a plan need: it is computed once, it
+    survives the loss of executors, and its size is known from here on.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new path below the folder that all executors see.
 
