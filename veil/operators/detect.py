@@ -26,11 +26,13 @@ from pyspark.sql import functions as F
 
 from veil.functions import masking
 from veil.functions.pin import pinned
+from veil.functions.checksums import digits
 from veil.functions.text import literal
 from veil.operators.rules import (
     ALLOWED_SHAPES,
     ALLOWED_WORDS,
     RULES,
+    SHARED,
     SPACED_RULES,
     Rule,
 )
@@ -53,41 +55,63 @@ class Scan:
     # most text has few such lines.
     numeric: str
     numeric_lowered: str
+    # How many digits these lines have.
+    digits: str
+    # Pattern -> column with its hits, for patterns that several rules use.
+    shared: dict[str, str]
 
 
 def scanned(df: DataFrame, text: str = "text") -> tuple[DataFrame, Scan]:
     """Add the prepared parts as columns, so that all rules share them."""
-    scan = Scan(text, *(f"_{text}_{x}" for x in ("lower", "num", "num_lower")))
+    scan = Scan(
+        text, *(f"_{text}_{x}" for x in ("lower", "num", "num_lower", "digits")),
+        {pattern: f"_{text}_{name}" for name, pattern, _ in SHARED},
+    )
     lines = f"filter(split({text}, '\\n'), line -> rlike(line, '[0-9]'))"
     out = df.withColumns({
         scan.lowered: F.expr(f"lower({text})"),
         scan.numeric: F.expr(
             f"CASE WHEN rlike({text}, '[0-9]') THEN array_join({lines}, '\\n') ELSE '' END"
         ),
-    }).withColumn(scan.numeric_lowered, F.expr(f"lower({scan.numeric})"))
-    return out, scan
+    })
+    out = out.withColumns({
+        scan.numeric_lowered: F.expr(f"lower({scan.numeric})"),
+        scan.digits: F.expr(f"char_length({digits(scan.numeric)})"),
+    })
+    return out.withColumns({
+        scan.shared[pattern]: F.expr(
+            f"CASE WHEN {scan.digits} >= {fewest} THEN "
+            f"regexp_extract_all({scan.numeric}, {literal(pattern)}, 1) ELSE {_NONE} END"
+        )
+        for _, pattern, fewest in SHARED
+    }), scan
 
 
 def rule_values(scan: Scan, rule: Rule) -> str:
-    """SQL text: distinct values one rule finds in a text, an empty array for none.
+    """SQL text: values one rule finds in a text, an empty array for none.
 
-    The pattern runs only where one of the rule's literals occurs.
+    The pattern runs only where the text has enough digits and one of the
+    rule's literals.
     """
-    text = scan.numeric if rule.numeric else scan.text
-    lowered = scan.numeric_lowered if rule.numeric else scan.lowered
-    hits = f"array_distinct(regexp_extract_all({text}, {literal(rule.pattern)}, 1))"
+    text = scan.numeric if rule.digits else scan.text
+    lowered = scan.numeric_lowered if rule.digits else scan.lowered
+    hits = scan.shared.get(
+        rule.pattern, f"regexp_extract_all({text}, {literal(rule.pattern)}, 1)"
+    )
     if rule.check is not None:
         hits = f"filter({hits}, v -> {rule.check('v')})"
     tests = [
         f"contains({lowered if n == n.lower() else text}, {literal(n)})" for n in rule.needles
-    ] or [f"{text} <> ''"]
-    return f"CASE WHEN {' OR '.join(tests)} THEN {hits} ELSE {_NONE} END"
+    ]
+    gates = [f"{scan.digits} >= {rule.digits}"] if rule.digits else []
+    gates += [f"({' OR '.join(tests)})"] if tests else []
+    return f"CASE WHEN {' AND '.join(gates)} THEN {hits} ELSE {_NONE} END"
 
 
 def operator_values(scan: Scan, operator: str, rules: Iterable[Rule] = RULES) -> str:
-    """SQL text: distinct values of one operator in a text."""
+    """SQL text: values of one operator in a text, repeated if several rules find them."""
     parts = [rule_values(scan, r) for r in rules if r.operator == operator]
-    return parts[0] if len(parts) == 1 else f"array_distinct(concat({', '.join(parts)}))"
+    return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"
 
 
 def allowed_sql(v: str) -> str:
@@ -205,7 +229,7 @@ def detect_operator(turns: DataFrame, operator: str) -> DataFrame:
     """Values of a single operator per text, before priorities are settled."""
     texts, scan = scanned(turns)
     return texts.selectExpr(
-        "session_id", "turn", f"explode({operator_values(scan, operator)}) AS value"
+        "session_id", "turn", f"explode(array_distinct({operator_values(scan, operator)})) AS value"
     )
 
 
@@ -213,7 +237,7 @@ def detect_spaced_digits(turns: DataFrame) -> DataFrame:
     """Numbers whose digits were written apart, with the operator they belong to."""
     texts, scan = scanned(turns)
     parts = [
-        f"transform({operator_values(scan, name, SPACED_RULES)}, "
+        f"transform(array_distinct({operator_values(scan, name, SPACED_RULES)}), "
         f"v -> named_struct('operator', {literal(name)}, 'value', v))"
         for name in dict.fromkeys(r.operator for r in SPACED_RULES)
     ]

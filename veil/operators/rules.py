@@ -30,8 +30,9 @@ class Rule:
     needles: tuple[str, ...] = ()
     # SQL text of the check, given the SQL text of the value.
     check: Callable[[str], str] | None = None
-    # Whether the value has a run of digits, so that texts without one are spared.
-    numeric: bool = True
+    # Fewest digits a value has. Texts with fewer are spared; 0 means that the
+    # value need not have digits at all.
+    digits: int = 1
 
 
 # Words between a cue and its number: "pin number is: 1234".
@@ -140,55 +141,59 @@ _CARD_LENGTH = _digits_between(13, 19)
 _NINE = _digits_between(9, 9)
 
 RULES: tuple[Rule, ...] = (
-    Rule("EMAIL_ADDRESS", EMAIL, ("@",), numeric=False),
-    Rule("URL", URL, ("://", "www."), numeric=False),
-    Rule("IBAN_CODE", IBAN_PLAIN, (), iban_ok),
-    Rule("IBAN_CODE", IBAN_GROUPED, (), iban_ok),
+    Rule("EMAIL_ADDRESS", EMAIL, ("@",), digits=0),
+    Rule("URL", URL, ("://", "www."), digits=0),
+    Rule("IBAN_CODE", IBAN_PLAIN, (), iban_ok, digits=2),
+    Rule("IBAN_CODE", IBAN_GROUPED, (), iban_ok, digits=2),
     Rule("VIN", VIN, (), _all(_length(17), _like("[A-Z]"), _like("[0-9]"))),
-    Rule("CREDIT_CARD_NUMBER", CARD, (), _all(_CARD_LENGTH, luhn_ok)),
-    Rule("CREDIT_CARD_NUMBER", CARD_CUED, ("card",), _digits_between(8, 19)),
+    Rule("CREDIT_CARD_NUMBER", CARD, (), _all(_CARD_LENGTH, luhn_ok), digits=13),
+    Rule("CREDIT_CARD_NUMBER", CARD_CUED, ("card",), _digits_between(8, 19), digits=8),
     Rule("CREDIT_CARD_EXPIRY", EXPIRY, ("exp", "valid"),
-         _like("[/-](?:[0-9]{2}|[0-9]{4})$")),
-    Rule("CREDIT_CARD_CVV", CVV, ("cvv", "cvc"), _length(3, 4)),
-    Rule("PIN", PIN, ("pin",), _length(4)),
-    Rule("US_ITIN", ITIN, (), is_itin),
-    Rule("US_SSN", SSN, (), _all(_length(11), _not(is_itin))),
-    Rule("US_SSN", SSN_CUED, ("ssn", "social security"), _all(_NINE, _not(is_itin))),
-    Rule("CA_SIN", SIN, ("sin", "social insurance"), _all(_NINE, luhn_ok)),
-    Rule("US_BANK_ROUTING_NUMBER", ROUTING, ("routing", "aba"), aba_ok),
-    Rule("CA_HEALTH_NUMBER", HEALTH, ("health",), _digits_between(10, 10)),
-    Rule("US_BANK_ACCOUNT_NUMBER", ACCOUNT, ("account", "acct"), _digits_between(10, 12)),
+         _like("[/-](?:[0-9]{2}|[0-9]{4})$"), digits=4),
+    Rule("CREDIT_CARD_CVV", CVV, ("cvv", "cvc"), _length(3, 4), digits=3),
+    Rule("PIN", PIN, ("pin",), _length(4), digits=4),
+    Rule("US_ITIN", ITIN, (), is_itin, digits=9),
+    Rule("US_SSN", SSN, ("-",), _all(_length(11), _not(is_itin)), digits=9),
+    Rule("US_SSN", SSN_CUED, ("ssn", "social security"), _all(_NINE, _not(is_itin)), digits=9),
+    Rule("CA_SIN", SIN, ("sin", "social insurance"), _all(_NINE, luhn_ok), digits=9),
+    Rule("US_BANK_ROUTING_NUMBER", ROUTING, ("routing", "aba"), aba_ok, digits=9),
+    Rule("CA_HEALTH_NUMBER", HEALTH, ("health",), _digits_between(10, 10), digits=10),
+    Rule("US_BANK_ACCOUNT_NUMBER", ACCOUNT, ("account", "acct"), _digits_between(10, 12), digits=10),
     Rule("SWIFT_CODE", SWIFT, ("swift", "bic"),
-         _like("^[A-Z]{6}[A-Z0-9]{2}(?:[A-Z0-9]{3})?$"), numeric=False),
-    Rule("PHONE_NUMBER", PHONE, (), _all(_digits_between(7, 15), _like("[ .-][0-9]{4}$"))),
-    Rule("PHONE_NUMBER", PHONE_INTL, ("+",), _digits_between(7, 15)),
+         _like("^[A-Z]{6}[A-Z0-9]{2}(?:[A-Z0-9]{3})?$"), digits=0),
+    Rule("PHONE_NUMBER", PHONE, (), _all(_digits_between(7, 15), _like("[ .-][0-9]{4}$")), digits=7),
+    Rule("PHONE_NUMBER", PHONE_INTL, ("+",), _digits_between(7, 15), digits=7),
     Rule("PHONE_NUMBER", PHONE_CUED, ("phone", "call", "mobile", "tel", "fax", "cell"),
-         _digits_between(7, 15)),
-    Rule("PERSON", PERSON, ("my name is", "this is", "Mr", "Ms", "Dr"), numeric=False),
-    Rule("PERSON", PERSON_I_AM, ("I am", "I'm"), numeric=False),
+         _digits_between(7, 15), digits=7),
+    Rule("PERSON", PERSON, ("my name is", "this is", "Mr", "Ms", "Dr"), digits=0),
+    Rule("PERSON", PERSON_I_AM, ("I am", "I'm"), digits=0),
     Rule("LOCATION", STREET,
          ("Street", "Avenue", "Road", "Boulevard", "Lane", "Drive", "Court", "Square")),
     Rule("LOCATION", PLACE, ("live in", "living in", "located in", "moved to", "travel to"),
-         numeric=False),
-    Rule("LOCATION", ZIP, ("zip",), _like("^[0-9]{5}(?:-[0-9]{4})?$")),
-    Rule("DEFAULT", IPV4, (), _like(IPV4_CHECK)),
-    Rule("DEFAULT", SECRET, ("token", "secret", "api_key"), numeric=False),
+         digits=0),
+    Rule("LOCATION", ZIP, ("zip",), _like("^[0-9]{5}(?:-[0-9]{4})?$"), digits=5),
+    Rule("DEFAULT", IPV4, (".",), _like(IPV4_CHECK), digits=4),
+    Rule("DEFAULT", SECRET, ("token", "secret", "api_key"), digits=0),
     # A well-formed card number that fails its check digit and has no cue.
-    Rule("DEFAULT", CARD, (), _all(_CARD_LENGTH, _not(luhn_ok))),
+    Rule("DEFAULT", CARD, (), _all(_CARD_LENGTH, _not(luhn_ok)), digits=13),
     Rule("DEFAULT", ID_NUMBER, ("passport", "licen", "insurance", "member"), _like("[0-9]")),
     Rule("DEFAULT", USER_NAME, ("username", "user name", "user id", "account id"),
-         numeric=False),
+         digits=0),
 )
 
 # Second pass: numbers whose digits were written apart.
 SPACED_RULES: tuple[Rule, ...] = (
-    Rule("CREDIT_CARD_NUMBER", SPACED, (), _all(_SPACED_ONLY, _CARD_LENGTH, luhn_ok)),
-    Rule("US_ITIN", SPACED, (), _all(_SPACED_ONLY, is_itin)),
-    Rule("US_SSN", SPACED, (), _all(_SPACED_ONLY, _NINE, _not(is_itin))),
+    Rule("CREDIT_CARD_NUMBER", SPACED, (), _all(_SPACED_ONLY, _CARD_LENGTH, luhn_ok), digits=13),
+    Rule("US_ITIN", SPACED, (), _all(_SPACED_ONLY, is_itin), digits=9),
+    Rule("US_SSN", SPACED, (), _all(_SPACED_ONLY, _NINE, _not(is_itin)), digits=9),
     Rule("PHONE_NUMBER", SPACED, (), _all(
-        _SPACED_ONLY, lambda v: f"{digit_count(v)} IN (7, 8, 10, 11, 12, 13, 14, 15)")),
+        _SPACED_ONLY, lambda v: f"{digit_count(v)} IN (7, 8, 10, 11, 12, 13, 14, 15)"), digits=7),
 )
 
+# Patterns of several rules, run once for all of them: name of the column that
+# holds the hits, pattern, fewest digits.
+SHARED: tuple[tuple[str, str, int], ...] = (("card", CARD, 13), ("spaced", SPACED, 7))
+
 # What is never personal data (fixed values).
 DEVICE_WORDS = (
     "thermostat", "smartplug", "camera", "fan", "light", "lamp", "sensor", "ipad",
