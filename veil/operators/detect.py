@@ -65,13 +65,14 @@ def scanned(df: DataFrame, text: str = "text") -> tuple[DataFrame, Scan]:
     """Add the prepared parts as columns, so that all rules share them."""
     scan = Scan(
         text, *(f"_{text}_{x}" for x in ("lower", "num", "num_lower", "digits")),
-        {pattern: f"_{text}_{name}" for name, pattern, _ in SHARED},
+        {pattern: f"_{text}_{name}" for name, pattern, *_ in SHARED},
     )
     lines = f"filter(split({text}, '\\n'), line -> rlike(line, '[0-9]'))"
     out = df.withColumns({
         scan.lowered: F.expr(f"lower({text})"),
         scan.numeric: F.expr(
-            f"CASE WHEN rlike({text}, '[0-9]') THEN array_join({lines}, '\\n') ELSE '' END"
+            f"CASE WHEN NOT rlike({text}, '[0-9]') THEN '' WHEN NOT contains({text}, '\\n') "
+            f"THEN {text} ELSE array_join({lines}, '\\n') END"
         ),
     })
     out = out.withColumns({
@@ -80,10 +81,10 @@ def scanned(df: DataFrame, text: str = "text") -> tuple[DataFrame, Scan]:
     })
     return out.withColumns({
         scan.shared[pattern]: F.expr(
-            f"CASE WHEN {scan.digits} >= {fewest} THEN "
+            f"CASE WHEN {scan.digits} >= {fewest} AND rlike({scan.numeric}, {literal(hint)}) THEN "
             f"regexp_extract_all({scan.numeric}, {literal(pattern)}, 1) ELSE {_NONE} END"
         )
-        for _, pattern, fewest in SHARED
+        for _, pattern, fewest, hint in SHARED
     }), scan
 
 
@@ -105,6 +106,7 @@ def rule_values(scan: Scan, rule: Rule) -> str:
     ]
     gates = [f"{scan.digits} >= {rule.digits}"] if rule.digits else []
     gates += [f"({' OR '.join(tests)})"] if tests else []
+    gates += [f"rlike({text}, {literal(rule.hint)})"] if rule.hint else []
     return f"CASE WHEN {' AND '.join(gates)} THEN {hits} ELSE {_NONE} END"
 
 

@@ -33,6 +33,8 @@ class Rule:
     # Fewest digits a value has. Texts with fewer are spared; 0 means that the
     # value need not have digits at all.
     digits: int = 1
+    # A piece of the pattern without its edges, much quicker to search for.
+    hint: str | None = None
 
 
 # Words between a cue and its number: "pin number is: 1234".
@@ -143,17 +145,19 @@ _NINE = _digits_between(9, 9)
 RULES: tuple[Rule, ...] = (
     Rule("EMAIL_ADDRESS", EMAIL, ("@",), digits=0),
     Rule("URL", URL, ("://", "www."), digits=0),
-    Rule("IBAN_CODE", IBAN_PLAIN, (), iban_ok, digits=2),
-    Rule("IBAN_CODE", IBAN_GROUPED, (), iban_ok, digits=2),
-    Rule("VIN", VIN, (), _all(_length(17), _like("[A-Z]"), _like("[0-9]"))),
+    Rule("IBAN_CODE", IBAN_PLAIN, (), iban_ok, digits=2, hint="[A-Z]{2}[0-9]{2}"),
+    Rule("IBAN_CODE", IBAN_GROUPED, (), iban_ok, digits=2, hint="[A-Z]{2}[0-9]{2}"),
+    Rule("VIN", VIN, (), _all(_length(17), _like("[A-Z]"), _like("[0-9]")),
+         hint="[A-HJ-NPR-Z0-9]{17}"),
     Rule("CREDIT_CARD_NUMBER", CARD, (), _all(_CARD_LENGTH, luhn_ok), digits=13),
     Rule("CREDIT_CARD_NUMBER", CARD_CUED, ("card",), _digits_between(8, 19), digits=8),
     Rule("CREDIT_CARD_EXPIRY", EXPIRY, ("exp", "valid"),
          _like("[/-](?:[0-9]{2}|[0-9]{4})$"), digits=4),
     Rule("CREDIT_CARD_CVV", CVV, ("cvv", "cvc"), _length(3, 4), digits=3),
     Rule("PIN", PIN, ("pin",), _length(4), digits=4),
-    Rule("US_ITIN", ITIN, (), is_itin, digits=9),
-    Rule("US_SSN", SSN, ("-",), _all(_length(11), _not(is_itin)), digits=9),
+    Rule("US_ITIN", ITIN, (), is_itin, digits=9, hint="9[0-9]{2}-?[78]"),
+    Rule("US_SSN", SSN, ("-",), _all(_length(11), _not(is_itin)), digits=9,
+         hint="[0-9]-[0-9]{2}-[0-9]"),
     Rule("US_SSN", SSN_CUED, ("ssn", "social security"), _all(_NINE, _not(is_itin)), digits=9),
     Rule("CA_SIN", SIN, ("sin", "social insurance"), _all(_NINE, luhn_ok), digits=9),
     Rule("US_BANK_ROUTING_NUMBER", ROUTING, ("routing", "aba"), aba_ok, digits=9),
@@ -161,7 +165,8 @@ RULES: tuple[Rule, ...] = (
     Rule("US_BANK_ACCOUNT_NUMBER", ACCOUNT, ("account", "acct"), _digits_between(10, 12), digits=10),
     Rule("SWIFT_CODE", SWIFT, ("swift", "bic"),
          _like("^[A-Z]{6}[A-Z0-9]{2}(?:[A-Z0-9]{3})?$"), digits=0),
-    Rule("PHONE_NUMBER", PHONE, (), _all(_digits_between(7, 15), _like("[ .-][0-9]{4}$")), digits=7),
+    Rule("PHONE_NUMBER", PHONE, (), _all(_digits_between(7, 15), _like("[ .-][0-9]{4}$")), digits=7,
+         hint="[0-9]{3}[ .-][0-9]"),
     Rule("PHONE_NUMBER", PHONE_INTL, ("+",), _digits_between(7, 15), digits=7),
     Rule("PHONE_NUMBER", PHONE_CUED, ("phone", "call", "mobile", "tel", "fax", "cell"),
          _digits_between(7, 15), digits=7),
@@ -172,7 +177,7 @@ RULES: tuple[Rule, ...] = (
     Rule("LOCATION", PLACE, ("live in", "living in", "located in", "moved to", "travel to"),
          digits=0),
     Rule("LOCATION", ZIP, ("zip",), _like("^[0-9]{5}(?:-[0-9]{4})?$"), digits=5),
-    Rule("DEFAULT", IPV4, (".",), _like(IPV4_CHECK), digits=4),
+    Rule("DEFAULT", IPV4, (".",), _like(IPV4_CHECK), digits=4, hint="[0-9]\\.[0-9]"),
     Rule("DEFAULT", SECRET, ("token", "secret", "api_key"), digits=0),
     # A well-formed card number that fails its check digit and has no cue.
     Rule("DEFAULT", CARD, (), _all(_CARD_LENGTH, _not(luhn_ok)), digits=13),
@@ -191,8 +196,11 @@ SPACED_RULES: tuple[Rule, ...] = (
 )
 
 # Patterns of several rules, run once for all of them: name of the column that
-# holds the hits, pattern, fewest digits.
-SHARED: tuple[tuple[str, str, int], ...] = (("card", CARD, 13), ("spaced", SPACED, 7))
+# holds the hits, pattern, fewest digits, hint.
+SHARED: tuple[tuple[str, str, int, str], ...] = (
+    ("card", CARD, 13, "[0-9]{4}"),
+    ("spaced", SPACED, 7, "[0-9][ ._-][0-9][ ._-][0-9]"),
+)
 
 # What is never personal data (fixed values).
 DEVICE_WORDS = (
