@@ -197,7 +197,7 @@ tagged AS (SELECT * FROM wrapped
 # ------------------------------------------------------------ envelopes
 
 PART = 64
-TENANT, APPLICATION, SUBJECT = "acme", "chat", "redact"
+TENANT, APPLICATION, SUBJECT = "acme", "chat", "mask"
 
 _FAULTY = """CASE
   WHEN seq % 11 = 0 THEN substr(body, 1, length(body) - 1)

@@ -222,7 +222,7 @@ ORACLES = {
     "stream_ingest": (
         f"WITH {I.ENVELOPES}\nSELECT seq, published_s, subject, nullif(header, '') AS name, "
         "len(payload) AS n_chars FROM envelopes"),
-    "route_subject": f"WITH {I.ENVELOPES}\nSELECT {_PART} FROM envelopes WHERE subject = 'acme.chat.redact'",
+    "route_subject": f"WITH {I.ENVELOPES}\nSELECT {_PART} FROM envelopes WHERE subject = 'acme.chat.mask'",
     "session_name": f"WITH {I.ENVELOPES}\nSELECT {_PART}, nullif(header, '') AS name FROM envelopes",
     "envelope_defaults": (
         f"WITH {I.ENVELOPES}\nSELECT {_PART}, coalesce(seq, 0) AS seq, coalesce(published_s, 0) AS published_s FROM envelopes"),
