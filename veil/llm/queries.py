@@ -10,12 +10,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veil.llm import bpe
+from veil.llm import bpe, exact
 from veil.sources.tables import read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), VOCABULARY), VOCABULARY)
     return coded.select(
@@ -26,6 +30,15 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_exact": op1_exact,
     "op7_bpe": op7_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_exact": """
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+        SELECT doc_id, max(doc_id) OVER (PARTITION BY text) AS keep_id,
+               count(*) OVER (PARTITION BY text) AS group_size,
+               doc_id = max(doc_id) OVER (PARTITION BY text) AS kept,
+               sha256(text) AS text_sha256
+        FROM t""",
+}
