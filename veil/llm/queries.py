@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veil.llm import bpe, exact
+from veil.llm import bpe, exact, simhash
 from veil.sources.tables import read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +20,10 @@ def op1_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), VOCABULARY), VOCABULARY)
     return coded.select(
@@ -31,6 +35,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact": op1_exact,
+    "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
 }
 ORACLES: dict[str, str] = {
