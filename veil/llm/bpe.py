@@ -30,7 +30,7 @@ from veil.llm.common import bytes_of, joined, keyed_text, map_arrow, ragged
 
 LONG_WORD = 400
 #: Encoded words a worker keeps; the table is emptied when it is full.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 250_000
 LETTER, NUMBER, OTHER, SPACE = 1, 2, 3, 4
 #: Fixed values of byte-level BPE: contractions that are words of their own.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
