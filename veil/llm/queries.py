@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veil.llm import bpe, exact, simhash
+from veil.llm import bpe, crosspolytope, exact, simhash
 from veil.sources.tables import read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +24,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), VOCABULARY), VOCABULARY)
     return coded.select(
@@ -37,6 +41,7 @@ QUERIES = {
     "op1_exact": op1_exact,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
+    "op9_embeddings": op9_embeddings,
 }
 ORACLES: dict[str, str] = {
     "op1_exact": """
