@@ -10,9 +10,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veil.llm import bpe, crosspolytope, exact, simhash
+from veil.llm import bpe, crosspolytope, exact, hosttrust, simhash
 from veil.sources.tables import read_table
 
+#: Rules of the URL filter: verdict and host with path.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -20,6 +22,11 @@ def op1_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = hosttrust.judge_pages(read_table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read_table(spark, sf_dir, "documents"))
 
@@ -39,6 +46,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact": op1_exact,
+    "op4_urls": op4_urls,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
     "op9_embeddings": op9_embeddings,
@@ -51,4 +59,5 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER (PARTITION BY text) AS kept,
                sha256(text) AS text_sha256
         FROM t""",
+    "op4_urls": hosttrust.oracle_sql(URL_RULES),
 }
