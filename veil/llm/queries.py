@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veil.llm import bpe, crosspolytope, exact, hosttrust, simhash
+from veil.llm import bpe, crosspolytope, exact, hosttrust, simhash, warczip
 from veil.sources.tables import read_table
 
 #: Rules of the URL filter: verdict and host with path.
@@ -27,6 +27,11 @@ def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warczip.round_trip(read_table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read_table(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact": op1_exact,
     "op4_urls": op4_urls,
+    "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
     "op9_embeddings": op9_embeddings,
@@ -60,4 +66,12 @@ ORACLES: dict[str, str] = {
                sha256(text) AS text_sha256
         FROM t""",
     "op4_urls": hosttrust.oracle_sql(URL_RULES),
+    "op5_warc": """
+        WITH t AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+        d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM t),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM f""",
 }
