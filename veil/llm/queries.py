@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veil.llm import bpe, crosspolytope, exact, hosttrust, simhash, warczip
+from veil.llm import bpe, crosspolytope, exact, hosttrust, quality, simhash, warczip
 from veil.sources.tables import read_table
 
 #: Rules of the URL filter: verdict and host with path.
@@ -36,6 +36,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosspolytope.near_vectors(read_table(spark, sf_dir, "embeddings"))
 
@@ -55,6 +61,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
+    "op8_quality": op8_quality,
     "op9_embeddings": op9_embeddings,
 }
 ORACLES: dict[str, str] = {
