@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veil.llm import bpe, crosspolytope, exact, hosttrust, quality, simhash, warczip
+from veil.llm import bpe, crosspolytope, exact, hosttrust, pii, quality, simhash, warczip
 from veil.sources.tables import read_table
 
 #: Rules of the URL filter: verdict and host with path.
@@ -22,6 +22,14 @@ def op1_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = pii.find_spans(docs, pii.fit(docs))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
+    text = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
+
+
 def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = hosttrust.judge_pages(read_table(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -57,6 +65,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact": op1_exact,
+    "op2_pii": op2_pii,
     "op4_urls": op4_urls,
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
