@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veil.llm import bpe, crosspolytope, exact, hosttrust, pii, quality, simhash, warczip
+from veil.llm import bpe, crosspolytope, exact, hosttrust, packing, pii, quality, simhash, warczip
 from veil.sources.tables import read_table
 
 #: Rules of the URL filter: verdict and host with path.
@@ -30,6 +30,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = hosttrust.judge_pages(read_table(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -66,6 +70,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact": op1_exact,
     "op2_pii": op2_pii,
+    "op3_packing": op3_packing,
     "op4_urls": op4_urls,
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
