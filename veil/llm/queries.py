@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veil.llm import bpe, crosspolytope, exact, hosttrust, packing, pii, quality, simhash, warczip
+from veil.llm import bpe, crosspolytope, exact, hosttrust, lines, packing, pii, quality, simhash, warczip
 from veil.sources.tables import read_table
 
 #: Rules of the URL filter: verdict and host with path.
@@ -67,6 +67,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
 QUERIES = {
     "op1_exact": op1_exact,
     "op2_pii": op2_pii,
@@ -77,6 +81,7 @@ QUERIES = {
     "op7_bpe": op7_bpe,
     "op8_quality": op8_quality,
     "op9_embeddings": op9_embeddings,
+    "op10_lines": op10_lines,
 }
 ORACLES: dict[str, str] = {
     "op1_exact": """
