@@ -19,6 +19,7 @@ that are null count for nothing. An empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veil.llm.common import bytes_of, joined, keyed_text, map_arrow, ragged
+from veil.llm.common import bytes_of, joined, keyed_text, map_arrow, ragged, slices
 
 BUCKETS, DIMENSIONS = 1 << 18, 16
 NGRAMS = (3, 4, 5)
@@ -206,3 +207,18 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     texts = keyed_text(docs, id_col, text_col)
     out = map_arrow(texts, work, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, score double")
     return out.withColumn("predicted", (F.col("score") >= keep_from).cast("int"))
+
+
+def keep_documents(docs: DataFrame, model: Model, text_col: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
+    """``docs`` without the rows whose score is below ``keep_from``."""
+    sent = docs.sparkSession.sparkContext.broadcast((model.weight.astype(np.float32), model.bias))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(at).fill_null("")
+            parts = [scores(part.column(0), *sent.value) for part in slices(pa.RecordBatch.from_arrays([text], names=["text"]))]
+            if parts:
+                yield batch.filter(pa.array(np.concatenate(parts) >= keep_from))
+
+    return docs.mapInArrow(run, docs.schema)

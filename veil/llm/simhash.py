@@ -213,17 +213,39 @@ def near_links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> Data
     return links
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row."""
-    spark = docs.sparkSession
-    path = shared_folder(spark, "simhash-docs")
-    fingerprints(docs, id_col, text_col, words).write.parquet(path)
-    prints = spark.read.parquet(path)
+def _grouped_prints(prints: DataFrame, radius: int) -> DataFrame:
+    """``fp``, ``root`` and ``component_id`` of every distinct fingerprint of a written table (doc_id, fp)."""
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     labels = components(near_links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
     named = nodes.join(labels, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     firsts = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = named.join(firsts, "root").select("fp", "component_id")
-    return prints.join(of_print, "fp").select(
+    return named.join(firsts, "root").select("fp", "root", "component_id")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row."""
+    prints = stored(fingerprints(docs, id_col, text_col, words), "simhash-docs")
+    return prints.join(_grouped_prints(prints, radius).drop("root"), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each component: the one with the least id, and of rows that share
+    it the one with the least fingerprint; rows that repeat both are one."""
+    prints = stored(fingerprints(docs, id_col, text_col, words), "simhash-docs")
+    groups = _grouped_prints(prints, radius)
+    kept = prints.join(groups, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min("fp").alias("__fp"), F.min("component_id").alias("__id"))
+    at = docs.columns.index(text_col)
+    names = ["__print", *docs.columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [fingerprint((t or "").encode(), words) for t in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(found, np.uint64).view(np.int64)), *batch.columns], names=names)
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    rows = docs.mapInArrow(run, f"__print bigint, {fields}")
+    met = rows.join(kept, (rows["__print"] == kept["__fp"]) & rows[id_col].eqNullSafe(kept["__id"]), "left_semi")
+    return met.dropDuplicates(["__print", id_col]).drop("__print")
