@@ -13,6 +13,14 @@ as a whole: its members pass on to shards that agree in two quarters of the bits
 are still free, until at most 256 members can be left. This loses no link. A
 shard returns a spanning set of its links, never all pairs.
 
+``similar_groups`` and ``keep_one`` link by similarity instead: five words, and 256 bits, at
+which a Jaccard similarity of 0.8 is a distance of 38. That is beyond any exact blocking, so
+shards are the values of randomly chosen bits, in as many tables as a pair at a distance of
+``USUAL`` of all bits needs to meet with probability ``MEET``; the number of bits grows with
+the logarithm of the fingerprints, so shards keep their size. Inside a shard the links
+are complete: small shards through their BK-tree, larger ones through pivots and then all
+members outside the largest component.
+
 Results: a null text counts as empty; texts without words have fingerprint zero and link
 like any other. Rows may repeat. ``component_id`` is the least id that links reach,
 nulls aside (null if a component has null ids only). An empty table gives an empty table.
@@ -21,6 +29,7 @@ nulls aside (null if a component has null ids only). An empty table gives an emp
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,30 +38,55 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veil.llm.common import keyed_text, map_arrow, shared_folder, stored
+from veil.llm.common import keyed_text, map_arrow, stored
 from veil.llm.components import components
 
 WORDS, RADIUS, SEED = 3, 2, 42
+#: Words and Jaccard similarity of groups of similar documents, and 64-bit lanes of their prints.
+SIMILAR_WORDS, SIMILARITY, LANES = 5, 0.8, 4
+#: Fingerprints of a shard on average; usual distance of a pair; probability that it meets.
+PER_SHARD, USUAL, MEET = 16, 0.125, 0.97
 #: Members up to which a shard is searched as one tree.
 SHARD = 2048
 BLOCKS = 4
 
 
-def fingerprint(text: bytes, words: int = WORDS) -> int:
-    """Majority bits of XXH64 over the word shingles, A-Z in lower case, white space in between."""
+def _shingle_hashes(text: bytes, words: int) -> np.ndarray:
+    """XXH64 of every word shingle, A-Z in lower case, white space in between; one for a short text."""
     parts = text.lower().split()  # on bytes: ASCII letters and \x20, \x09-\x0d only
     if not parts:
-        return 0
+        return np.zeros(0, np.uint64)
     if len(parts) < words:
         shingles = [b" ".join(parts)]
     else:
         shingles = map(b" ".join, zip(*(parts[k:] for k in range(words)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, SEED) for s in shingles], np.uint64)
+    return np.array([digest(s, SEED) for s in shingles], np.uint64)
+
+
+def _majority(hashes: np.ndarray) -> bytes:
+    """Eight bytes, little-endian: a bit is 1 if it is set in over half of the hashes."""
     ones = np.zeros(64, np.int64)
     for k in range(0, len(hashes), 4096):
         ones += np.unpackbits(hashes[k : k + 4096].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes()
+
+
+def fingerprint(text: bytes, words: int = WORDS) -> int:
+    """The 64-bit fingerprint; 0 for a text without words."""
+    return int.from_bytes(_majority(_shingle_hashes(text, words)), "little")
+
+
+def wide_fingerprint(text: bytes, words: int = SIMILAR_WORDS) -> bytes:
+    """A fingerprint of ``LANES`` * 64 bits, from as many mixtures of each shingle's hash."""
+    hashes = _shingle_hashes(text, words)
+    out = []
+    for lane in range(LANES):
+        h = hashes + np.uint64((lane * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out.append(_majority(h ^ (h >> np.uint64(31))))
+    return b"".join(out)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
@@ -213,39 +247,131 @@ def near_links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> Data
     return links
 
 
-def _grouped_prints(prints: DataFrame, radius: int) -> DataFrame:
-    """``fp``, ``root`` and ``component_id`` of every distinct fingerprint of a written table (doc_id, fp)."""
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row."""
+    prints = stored(fingerprints(docs, id_col, text_col, words), "simhash-docs")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     labels = components(near_links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
     named = nodes.join(labels, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     firsts = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return named.join(firsts, "root").select("fp", "root", "component_id")
-
-
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row."""
-    prints = stored(fingerprints(docs, id_col, text_col, words), "simhash-docs")
-    return prints.join(_grouped_prints(prints, radius).drop("root"), "fp").select(
+    return prints.join(named.join(firsts, "root").select("fp", "component_id"), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each component: the one with the least id, and of rows that share
-    it the one with the least fingerprint; rows that repeat both are one."""
-    prints = stored(fingerprints(docs, id_col, text_col, words), "simhash-docs")
-    groups = _grouped_prints(prints, radius)
-    kept = prints.join(groups, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
-        F.min("fp").alias("__fp"), F.min("component_id").alias("__id"))
-    at = docs.columns.index(text_col)
-    names = ["__print", *docs.columns]
+def distance_of(similarity: float) -> int:
+    """Differing bits, of 64 * LANES, that a Jaccard similarity stands for."""
+    return int(64 * LANES * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+
+def sampled_bits(prints: int) -> np.ndarray:
+    """Bits (table, place) that the shards of so many fingerprints are made of."""
+    width = min(48, max(8, math.ceil(math.log2(max(2, prints / PER_SHARD)))))
+    tables = math.ceil(math.log(1 / (1 - MEET)) / (1 - USUAL) ** width)
+    rng = np.random.default_rng(6)
+    return np.stack([rng.choice(64 * LANES, width, replace=False) for _ in range(tables)])
+
+
+def _large_shard(values: list[bytes], radius: int) -> list[tuple[int, int]]:
+    """Spanning links (by place) of a shard of any size, without comparing members of one component twice."""
+    x = np.frombuffer(b"".join(values), np.uint64).reshape(len(values), -1)
+    label = np.full(len(x), -1)
+    out: list[tuple[int, int]] = []
+
+    def link(i: int) -> None:
+        near = np.flatnonzero(np.bitwise_count(x ^ x[i]).sum(1) <= radius)
+        found = np.unique(label[near])
+        label[near[label[near] < 0]] = i
+        if label[i] < 0:
+            label[i] = i
+        out.extend((i, int(k)) for k in near[label[near] == i] if k != i)
+        for other in found[(found >= 0) & (found != label[i])]:
+            out.append((i, int(near[label[near] == other][0])))
+            label[label == other] = label[i]
+
+    for i in range(len(x)):
+        if label[i] < 0:
+            link(i)
+    names, sizes = np.unique(label, return_counts=True)
+    for i in np.flatnonzero(label != names[sizes.argmax()]):
+        link(int(i))
+    return out
+
+
+def similar_links(nodes: DataFrame, radius: int, bits: np.ndarray) -> DataFrame:
+    """Links (a, b) between ``node`` numbers whose ``fp`` differ in at most ``radius`` bits and share a shard."""
+    power = 1 << np.arange(bits.shape[1], dtype=np.int64)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                raw = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                spread = np.unpackbits(raw, axis=1, bitorder="little")
+                keys = np.concatenate([spread[:, b] @ power for b in bits])
+                index = pa.array(np.tile(np.arange(part.num_rows), len(bits)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(np.arange(len(bits), dtype=np.int32), part.num_rows)), pa.array(keys), part.column(0).take(index), part.column(1).take(index)],
+                    names=["t", "key", "node", "fp"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, nodes_, values = None, [], []
+        a: list[int] = []
+        b: list[int] = []
+
+        def close() -> None:
+            if len(values) > SHARD // 8:
+                links = _large_shard(values, radius)
+                a.extend(nodes_[i] for i, _ in links), b.extend(nodes_[j] for _, j in links)
+            elif len(values) > 1:
+                numbers = [int.from_bytes(v, "little") for v in values]
+                of = dict(zip(numbers, nodes_, strict=True))
+                for x, y in _spanning(numbers, radius):
+                    a.append(of[x]), b.append(of[y])
+            nodes_.clear(), values.clear()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint((t or "").encode(), words) for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(found, np.uint64).view(np.int64)), *batch.columns], names=names)
+            for t, k, node, fp in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if (t, k) != key:
+                    close()
+                    key = (t, k)
+                nodes_.append(node), values.append(fp)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                a.clear(), b.clear()
+        close()
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    placed = nodes.select("node", "fp").mapInArrow(place, "t int, key bigint, node bigint, fp binary")
+    return placed.repartition("t", "key").sortWithinPartitions("t", "key").mapInArrow(search, "a bigint, b bigint")
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    rows = docs.mapInArrow(run, f"__print bigint, {fields}")
-    met = rows.join(kept, (rows["__print"] == kept["__fp"]) & rows[id_col].eqNullSafe(kept["__id"]), "left_semi")
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id``, ``digest`` (XXH64 of the text), ``group`` and ``component_id`` of every row.
+
+    Rows are in one group if links of at least ``similarity`` join them; ``component_id``
+    is the least id of the group.
+    """
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [wide_fingerprint(t.encode(), words) for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())], names=["doc_id", "digest", "fp"])
+
+    texts = keyed_text(docs, id_col, text_col).withColumn("digest", F.xxhash64("text"))
+    prints = stored(map_arrow(texts, work, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, digest bigint, fp binary"), "simhash-docs")
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
+    labels = components(similar_links(nodes, distance_of(similarity), sampled_bits(nodes.count())))
+    named = nodes.join(labels, "node", "left").select("fp", "least", F.coalesce("root", "node").alias("group"))
+    firsts = named.groupBy("group").agg(F.min("least").alias("component_id"))
+    return prints.join(named.join(firsts, "group").select("fp", "group", "component_id"), "fp").select("doc_id", "digest", "group", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one row of each group of ``similar_groups``: the one with the least id; of rows
+    that share it the one with the least digest; rows that repeat both are one."""
+    groups = similar_groups(docs, id_col, text_col, words, similarity)
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("group").agg(
+        F.min("digest").alias("__digest"), F.min("doc_id").alias("__id")).drop("group")
+    rows = docs.withColumn("__print", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    met = rows.join(kept, (rows["__print"] == kept["__digest"]) & rows[id_col].eqNullSafe(kept["__id"]), "left_semi")
     return met.dropDuplicates(["__print", id_col]).drop("__print")
