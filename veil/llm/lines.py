@@ -15,7 +15,7 @@ up to the maximal repeated runs. As every line has a word, windows have at most
 ``min_words`` lines and the doubling ends after log2 of that.
 
 So a line is deleted if a run of lines around it, of ``min_words`` words or more, starts
-earlier in the order of (id, line) as well; blank lines inside a deleted run go with it.
+earlier in the order of (id, line) as well; blank lines between two deleted ones go too.
 Occurrences may overlap: of a line that repeats without end the first one stays.
 
 Results: a null text counts as empty and stays empty. Rows that repeat id and text are
@@ -125,12 +125,17 @@ def without_windows(text: str, windows: list[tuple[int, int]]) -> tuple[str, int
     """The text without the windows (first line with words, lines), the number of its lines, and of those removed."""
     lines = text.split("\n")
     inked = [k for k, line in enumerate(lines) if line.encode().split()]
-    gone = np.zeros(len(lines) + 1, np.int64)
+    edge = np.zeros(len(inked) + 1, np.int64)
     for at, m in windows:
-        gone[inked[at]] += 1
-        gone[inked[at + m - 1] + 1] -= 1
-    stay = np.cumsum(gone)[:-1] == 0
-    return "\n".join([line for line, s in zip(lines, stay, strict=True) if s]), len(lines), int((~stay).sum())
+        edge[at] += 1
+        edge[at + m] -= 1
+    gone = np.zeros(len(lines), bool)
+    before, last = False, -1
+    for k, cut in zip(inked, np.cumsum(edge)[:-1] > 0, strict=True):
+        gone[k] = cut
+        gone[last + 1 : k] = before and cut
+        before, last = cut, k
+    return "\n".join([line for line, g in zip(lines, gone, strict=True) if not g]), len(lines), int(gone.sum())
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -198,8 +198,10 @@ def _search(shards: DataFrame, radius: int, limit: int) -> DataFrame:
 
         def close() -> None:
             if not passing and len(held) > 1:
-                for x, y in _spanning(held, radius):
-                    a.append(x), b.append(y), free.append(0)
+                # Distances are of unsigned numbers: Python counts the bits of an absolute value.
+                signed = {x % (1 << 64): x for x in held}
+                for x, y in _spanning(list(signed), radius):
+                    a.append(signed[x]), b.append(signed[y]), free.append(0)
             held.clear()
 
         def flush() -> pa.RecordBatch:
