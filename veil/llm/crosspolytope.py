@@ -159,7 +159,7 @@ class _Bucket:
             p, q = codes[i], codes2[j]
             at_first = (p[:, :, :1] == q).any(-1) | (q[:, :, :1] == p).any(-1)
             keep = ~at_first[:, : self.table].any(1)
-            back = (q[:, self.table, :1] == p[:, self.table]).any(-1) & (p[:, self.table, 0] != q[:, self.table, 0])
+            back = (q[:, self.table, :1] == p[:, self.table]).any(-1)  # found from the other side as well
             keep &= (ids[i] < ids2[j]) | ~back
             i, j = i[keep], j[keep]
             self.count(ids, weight, ids2, weight2, i, j, out)
