@@ -261,7 +261,7 @@ ORACLES = {
     "memo_misses": f"WITH {MEMO}\nSELECT DISTINCT sha256(text) AS text_key FROM tagged WHERE text NOT IN (SELECT text FROM memo)",
     "memo_ttl": (
         f"WITH {MEMO}\nSELECT text_key, responded_s FROM memo WHERE responded_s > {_NOW} - 3600 "
-        "ORDER BY responded_s DESC, text_key LIMIT 1000"),
+        "ORDER BY responded_s DESC, text_key"),
     "header_durations": (
         "SELECT event_id, CASE event_id % 3 WHEN 0 THEN CAST(user_id AS VARCHAR) WHEN 1 THEN '9' ELSE '0' END AS duration, "
         "CASE event_id % 3 WHEN 1 THEN '2' ELSE '0' END AS overhead FROM events"),

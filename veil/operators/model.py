@@ -3,7 +3,7 @@
 The model sees every distinct text once. The user gives a *factory*, called
 once per partition (so clients and weights are built there), that returns a
 function ``(texts, prompt, model) -> answers``, one answer per text: the
-response body as a string, or ``None`` for a failed call.
+response body as a string, a pair of status and body, or ``None`` for a failed call.
 """
 
 from __future__ import annotations
@@ -15,12 +15,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Detector = Callable[[Sequence[str], str, str], Sequence[str | None]]
+Answer = str | tuple[int, str] | None
+Detector = Callable[[Sequence[str], str, str], Sequence[Answer]]
 Factory = Callable[[], Detector]
 
 ATTEMPTS = 3
 MEMO_TTL = "1 hour"
-MEMO_ENTRIES = 1000
+# Texts of one call, and tasks per core of the cluster that calls are spread over.
+TEXTS_PER_CALL = 16
+TASKS_PER_CORE = 4
 ANSWER = "text STRING, response STRING, attempts INT"
 # Names of the response headers with durations in milliseconds (fixed values).
 DURATION_HEADER = "x-litellm-response-duration-ms"
@@ -50,46 +53,58 @@ def reported(headers: Column, name: str) -> Column:
     return F.coalesce(F.try_element_at(headers, F.lit(name)), F.lit("0"))
 
 
-def _is_json(answer: str | None) -> bool:
-    if answer is None:
-        return False
+def _body(answer: Answer) -> str | None:
+    """The body of a usable answer: a good status, if there is one, and JSON."""
+    if isinstance(answer, tuple):
+        status, answer = answer
+        if not 200 <= status <= 299:
+            return None
     try:
         json.loads(answer)
-    except ValueError:
-        return False
-    return True
+    except (TypeError, ValueError):
+        return None
+    return answer
+
+
+def _call(detector: Detector, texts: list[str], prompt: str, model: str) -> list[str | None]:
+    """One call; what it raises, or a wrong number of answers, is a failure of all its texts."""
+    try:
+        answers = list(detector(texts, prompt, model))
+    except Exception:  # noqa: BLE001 - a failed call is data, not an error
+        answers = []
+    return [_body(a) for a in answers] if len(answers) == len(texts) else [None] * len(texts)
 
 
 def ask(
-    texts: DataFrame, factory: Factory, prompt: str, model: str, attempts: int = ATTEMPTS
+    texts: DataFrame, factory: Factory, prompt: str, model: str, attempts: int = ATTEMPTS,
+    texts_per_call: int = TEXTS_PER_CALL, tasks: int | None = None,
 ) -> DataFrame:
     """Ask the model about each row of ``texts`` (column ``text``).
 
-    A failed call (``None``, an exception or no JSON) is repeated at once, up
-    to ``attempts`` times; after that the response is NULL. The loop is part of
-    the task, so it does not depend on Spark repeating tasks.
+    Calls are spread over ``tasks`` tasks whatever the size of the input, as
+    they wait and do not compute. A failed text (``None``, an exception, a bad
+    status or no JSON) is asked again at once and alone, up to ``attempts`` times
+    in all, so one bad text costs its call no other answer; after that the
+    response is NULL. The loop is part of the task, so it does not depend on
+    Spark repeating tasks.
     """
+    tasks = tasks or TASKS_PER_CORE * texts.sparkSession.sparkContext.defaultParallelism
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         detector = factory()
         for batch in batches:
-            waiting = list(batch["text"])
-            answers: dict[str, tuple[str | None, int]] = {t: (None, attempts) for t in waiting}
-            for attempt in range(1, attempts + 1):
-                try:
-                    got = detector(waiting, prompt, model)
-                except Exception:  # noqa: BLE001 - a failed call is data, not an error
-                    got = [None] * len(waiting)
-                good = {t: a for t, a in zip(waiting, got, strict=True) if _is_json(a)}
-                answers.update({t: (a, attempt) for t, a in good.items()})
-                waiting = [t for t in waiting if t not in good]
-                if not waiting:
-                    break
-            yield pd.DataFrame(
-                [(t, *answers[t]) for t in batch["text"]],
-                columns=["text", "response", "attempts"],
-            )
-
-    return texts.select("text").mapInPandas(run, ANSWER)
+            rows = []
+            for at in range(0, len(batch), texts_per_call):
+                group = list(batch["text"][at : at + texts_per_call])
+                for text, body in zip(group, _call(detector, group, prompt, model), strict=True):
+                    attempt = 1
+                    while body is None and attempt < attempts:
+                        body, attempt = _call(detector, [text], prompt, model)[0], attempt + 1
+                    rows.append((text, body, attempt))
+            yield pd.DataFrame(rows, columns=["text", "response", "attempts"])
+
+    # A number given with the key keeps adaptive execution from merging the tasks again.
+    return texts.select("text").repartition(tasks, "text").mapInPandas(run, ANSWER)
 
 
 def keyed(texts: DataFrame) -> DataFrame:
@@ -98,12 +113,12 @@ def keyed(texts: DataFrame) -> DataFrame:
 
 
 def live_memo(
-    memo: DataFrame, now: Column, ttl: str = MEMO_TTL, entries: int | None = MEMO_ENTRIES
+    memo: DataFrame, now: Column, ttl: str = MEMO_TTL, entries: int | None = None
 ) -> DataFrame:
-    """Memo rows that are still valid: not older than ``ttl``, the newest ``entries``.
+    """Memo rows that are still valid: not older than ``ttl``.
 
-    The bound is a top-k by time, which every task applies to its own rows
-    before the few survivors meet. ``entries=None`` keeps all.
+    A number of ``entries`` keeps the newest only, a top-k by time that every
+    task applies to its own rows before the few survivors meet.
     """
     fresh = memo.where(F.col("responded_at") > now - F.expr(f"INTERVAL {ttl}"))
     if entries is None:
@@ -114,7 +129,7 @@ def live_memo(
 def memo_misses(texts: DataFrame, memo: DataFrame) -> DataFrame:
     """Distinct texts that have no answer yet."""
     return keyed(texts.select("text").distinct()).join(
-        memo.select("text_key", "text"), ["text_key", "text"], "left_anti"
+        memo.select("text_key"), "text_key", "left_anti"
     )
 
 
@@ -132,7 +147,7 @@ def answers(
         return keyed(ask(texts.select("text").distinct(), factory, prompt, model, attempts))
     fresh = keyed(ask(memo_misses(texts, memo), factory, prompt, model, attempts))
     known = keyed(texts.select("text").distinct()).join(
-        memo.select("text_key", "text", "response"), ["text_key", "text"]
+        memo.select("text_key", "response"), "text_key"
     ).withColumn("attempts", F.lit(0))
     return known.unionByName(fresh)
 
@@ -148,6 +163,9 @@ def with_answers(rows: DataFrame, found: DataFrame) -> DataFrame:
     """Give every row (column ``text``) the answer to its text.
 
     Many rows may share a text: the answers are unique per key, so this is an
-    N:1 join whose hot partition adaptive execution can split.
+    N:1 join whose hot partition adaptive execution can split. Rows without a
+    text go around it.
     """
-    return keyed(rows).join(found, ["text_key", "text"], "left").drop("text_key")
+    known = found.drop("text")
+    met = keyed(rows.where(F.col("text").isNotNull())).join(known, "text_key", "left").drop("text_key")
+    return met.unionByName(rows.where(F.col("text").isNull()), allowMissingColumns=True)

@@ -86,13 +86,13 @@ PHONE_CUED = (
     r"(\+?[0-9]{3}[ .-]?[0-9]{4}|\+?[0-9]{7,})"
 )
 NAME = r"\p{Lu}[\p{L}'-]*"
-PERSON = rf"(?:[Mm]y name is|[Tt]his is|(?:Mr|Mrs|Ms|Dr)\.?) ({NAME}(?: {NAME}){{0,3}})"
-PERSON_I_AM = rf"(?:^|[^A-Za-z])I(?: a|')m ({NAME}(?: {NAME}){{1,3}})"
+PERSON = rf"(?:[Mm]y name is|[Tt]his is|(?:Mr|Mrs|Ms|Dr)\.?) ({NAME}(?: {NAME})*)"
+PERSON_I_AM = rf"(?:^|[^A-Za-z])I(?: a|')m ({NAME}(?: {NAME})+)"
 STREET = (
-    r"(?:^|[^0-9])([0-9]{1,5} (?:\p{Lu}\p{L}+ ){1,3}"
+    r"(?:^|[^0-9])([0-9]{1,5} (?:\p{Lu}\p{L}+ )+"
     r"(?:Street|Avenue|Road|Boulevard|Lane|Drive|Court|Square))"
 )
-PLACE = rf"(?:live in|living in|located in|moved to|travel to) ({NAME}(?: {NAME}){{0,2}})"
+PLACE = rf"(?:live in|living in|located in|moved to|travel to) ({NAME}(?: {NAME})*)"
 ZIP = rf"(?i){WORD_EDGE}zip{GAP}([0-9]{{5}}(?:-[0-9]{{4}})?[0-9]*)"
 IPV4 = r"(?:^|[^0-9.])([0-9]+(?:\.[0-9]+){3,8})"
 SECRET = r"(?i)(?:token|secret|api_key) ?[=:] ?\"?([0-9A-Za-z_-]{16,})"

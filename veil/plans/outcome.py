@@ -45,15 +45,25 @@ def quarantine(rows: DataFrame) -> DataFrame:
     )
 
 
-def latest(rows: DataFrame, name: str = "session_name", seq: str = "seq") -> DataFrame:
+def latest(
+    rows: DataFrame, name: str = "session_name", seq: str = "seq",
+    then: tuple[str, ...] = ("published", "batch_id"),
+) -> DataFrame:
     """The last message of every name; a repeated delivery counts once.
 
-    Only name and sequence are aggregated, with partial results in the map
-    tasks. The wide rows then meet the winners on both columns, so a name that
-    holds a third of all rows is no hot key.
+    Messages are in order of ``seq`` and, where numbers are equal or missing,
+    of those columns of ``then`` that there are. Missing values come first, and
+    messages without a name are one group. Only name and order are aggregated,
+    with partial results in the map tasks. The wide rows then meet the winners
+    on all of these columns, so a name that holds a third of all rows is no hot key.
     """
-    winners = rows.groupBy(name).agg(F.max(seq).alias(seq))
-    return rows.join(winners, [name, seq], "left_semi").dropDuplicates([name, seq])
+    order = [seq, *(c for c in then if c in rows.columns)]
+    winners = rows.groupBy(name).agg(F.max(F.struct(*order)).alias("_last")).select(
+        F.col(name).alias("_name"), *(F.col(f"_last.{c}").alias(f"_{c}") for c in order))
+    same = rows[name].eqNullSafe(winners["_name"])
+    for c in order:
+        same = same & rows[c].eqNullSafe(winners[f"_{c}"])
+    return rows.join(winners, same, "left_semi").dropDuplicates([name, *order])
 
 
 def micros_between(start: Column, end: Column) -> Column:
@@ -110,9 +120,11 @@ def latency_percentiles(rows: DataFrame, accuracy: int = 10000) -> DataFrame:
     )
 
 
-def save_logs(rows: DataFrame, path: str, format: str = "json", mode: str = "overwrite") -> None:
+def save_logs(rows: DataFrame, path: str, format: str = "json", mode: str = "append") -> None:
     """Write saved sessions, one row each: ``session_name``, ``seq``, ``log``.
 
+    Sessions saved before stay; :func:`latest` picks the last one of a name.
+
     The path alone decides where they go (a local folder, ``s3a://…``, …).
     """
     rows.where(F.col("saved")).select("session_name", "seq", "log").write.format(format).mode(

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from veil.schema import ENVELOPE, SESSION_HEADER
 
+# Header that keeps the partition of a message whose source has several.
+PARTITION_HEADER = "veil_partition"
+
 
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     """A finite set of envelope files, one JSON object per line."""
@@ -28,11 +31,23 @@ def stream_envelopes(
 
 
 def from_kafka_columns(records: DataFrame) -> DataFrame:
-    """Bring rows of a Kafka source (with ``includeHeaders``) into envelope form."""
-    headers = F.map_from_entries(F.transform(
-        F.coalesce(F.col("headers"), F.array()),
-        lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value")),
-    ))
+    """Bring rows of a Kafka source (with ``includeHeaders``) into envelope form.
+
+    Of repeated headers the last one counts. Offsets start anew in every
+    partition, so the partition travels in a header, and :func:`with_delivery_key`
+    reads it.
+    """
+    own = F.struct(F.lit(PARTITION_HEADER).alias("key"), F.col("partition").cast("string").alias("value"))
+    given = F.concat(
+        F.transform(
+            F.coalesce(F.col("headers"), F.array()),
+            lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value")),
+        ),
+        F.array(own),
+    )
+    last = F.filter(given, lambda h, i: ~F.exists(
+        F.slice(given, i + 2, F.size(given)), lambda later: later["key"] == h["key"]))
+    headers = F.map_from_entries(last)
     return records.select(
         F.col("offset").alias("seq"), F.col("timestamp").alias("published"),
         F.col("topic").alias("subject"), headers.alias("headers"),
@@ -66,12 +81,12 @@ def with_defaults(envelopes: DataFrame) -> DataFrame:
 def with_delivery_key(envelopes: DataFrame) -> DataFrame:
     """Add ``delivery_key``, equal for repeated deliveries of one message.
 
-    The sequence number identifies a message; without one, its content does.
+    Numbers repeat between subjects and partitions, and a message may have none:
+    subject, partition, number, name and content together identify a delivery.
     """
-    content = F.sha2(F.concat_ws("\u0001", session_name(), F.col("payload")), 256)
-    return envelopes.withColumn(
-        "delivery_key", F.coalesce(F.col("seq").cast("string"), F.concat(F.lit("#"), content))
-    )
+    parts = (F.col("subject"), F.try_element_at("headers", F.lit(PARTITION_HEADER)),
+             F.col("seq").cast("string"), session_name(), F.col("payload"))
+    return envelopes.withColumn("delivery_key", F.sha2(F.to_json(F.array(*parts)), 256))
 
 
 def first_delivery(envelopes: DataFrame) -> DataFrame:

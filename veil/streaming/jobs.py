@@ -62,11 +62,9 @@ def drop_repeats(stream: DataFrame, remember: str = REMEMBER) -> DataFrame:
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write the rows of a batch; writing the same batch again replaces them."""
-    (
-        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
-    )
+    """Write the rows of a batch; writing the same batch again replaces them, also by none."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+        f"{path}/batch_id={batch_id}")
 
 
 def pending_of(spark: SparkSession, folders: Folders, batch_id: int) -> DataFrame | None:
@@ -101,7 +99,9 @@ def run_batch(
     }).persist()
     try:
         write_batch(
-            done.where("saved").select("session_name", "seq", "published", "log", "pairs"),
+            # How many pairs, not which: the values are what was masked.
+            done.where("saved").select(
+                "session_name", "seq", "published", "log", F.size("pairs").alias("n_pairs")),
             folders.sessions, batch_id,
         )
         write_batch(quarantine(done), folders.quarantine, batch_id)
@@ -158,7 +158,8 @@ def model_process(
 
     def process(rows: DataFrame, batch_id: int) -> DataFrame:
         spark = rows.sparkSession
-        now = F.current_timestamp()
+        # One time for the whole batch: what is live when it is looked up stays so.
+        now = F.lit(spark.sql("SELECT current_timestamp()").first()[0])
         messages = with_transcripts(rows)
         asked = askable(messages)
         known = None
