@@ -149,6 +149,47 @@ def publish_envelopes(spark: SparkSession, sf: str) -> DataFrame:
         "seq", "subject", E.session_name().alias("name"), F.char_length("payload").cast("bigint").alias("n_chars"))
 
 
+def _kafka(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as records of a broker: offsets repeat in four partitions, a header comes twice."""
+    def header(value: str):
+        return F.struct(F.lit("k").alias("key"), F.col(value).cast("string").cast("binary").alias("value"))
+
+    rows = I.table(spark, sf, "events").select(
+        F.col("event_type").alias("topic"), (F.col("user_id") % 4).cast("int").alias("partition"),
+        F.floor(F.col("event_id") / 4).alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
+        F.col("event_id").cast("string").cast("binary").alias("value"),
+        F.array(header("user_id"), header("event_id")).alias("headers"))
+    return E.from_kafka_columns(rows)
+
+
+def kafka_columns(spark: SparkSession, sf: str) -> DataFrame:
+    return _kafka(spark, sf).select(
+        "seq", "subject", F.col("headers")["k"].alias("k"),
+        F.col("headers")[E.PARTITION_HEADER].alias("partition"), "payload")
+
+
+def first_delivery(spark: SparkSession, sf: str) -> DataFrame:
+    """Every record comes twice; none is lost though offsets repeat."""
+    rows = _kafka(spark, sf)
+    return E.first_delivery(rows.unionByName(rows)).select("seq", "subject", "payload")
+
+
+def not_ready(spark: SparkSession, sf: str) -> DataFrame:
+    rows = I.table(spark, sf, "customer").selectExpr("c_mktsegment AS component", "c_acctbal > 9000 AS ready")
+    return X.not_ready(rows)
+
+
+def missing_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers without a large order."""
+    required = I.table(spark, sf, "customer").selectExpr("c_custkey AS k", "c_name AS name")
+    return X.missing_rows(required, I.table(spark, sf, "orders").where("o_totalprice > 400000").selectExpr("o_custkey AS k"), ["k"])
+
+
+def latency_percentiles(spark: SparkSession, sf: str) -> DataFrame:
+    found = O.latency_percentiles(O.with_latency(_timed(spark, sf)), 1000000)
+    return found.select("disposition", F.col("p50_p95_us")[0].alias("p50_us"), F.col("p50_p95_us")[1].alias("p95_us"))
+
+
 # ------------------------------------------------------------- streams
 
 def _publish_and_mask(spark: SparkSession, sf: str, times: int = 1, **options) -> str:
@@ -209,6 +250,11 @@ QUERIES = {
     "disposition": disposition,
     "quarantine": quarantine,
     "latest_session": latest_session,
+    "kafka_columns": kafka_columns,
+    "first_delivery": first_delivery,
+    "not_ready": not_ready,
+    "missing_rows": missing_rows,
+    "latency_percentiles": latency_percentiles,
     "metrics_rows": metrics_rows,
     "latency_us": lambda spark, sf: O.with_latency(_timed(spark, sf)).select(
         "seq", "since_publish_us", "took_us"),
@@ -255,6 +301,11 @@ def _answered_sql() -> str:
 
 _FIRST = "SELECT * FROM envelopes QUALIFY row_number() OVER (PARTITION BY session_id, part ORDER BY delivery) = 1"
 ORACLES = {
+    "kafka_columns": "SELECT event_id // 4 AS seq, event_type AS subject, CAST(event_id AS VARCHAR) AS k, "
+                     "CAST(user_id % 4 AS VARCHAR) AS partition, CAST(event_id AS VARCHAR) AS payload FROM events",
+    "first_delivery": "SELECT event_id // 4 AS seq, event_type AS subject, CAST(event_id AS VARCHAR) AS payload FROM events",
+    "not_ready": "SELECT DISTINCT c_mktsegment AS component FROM customer WHERE NOT coalesce(c_acctbal > 9000, false)",
+    "missing_rows": "SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_totalprice > 400000)",
     "mask_secret": f"WITH {_CUSTOMER}\nSELECT k, concat(substr(name, 1, 4), '****') AS name, "
                    "concat(substr(short, 1, 4), '****') AS short FROM customers",
     "mask_by_key": f"WITH {_CUSTOMER}\nSELECT k, concat(substr(name, 1, 4), '****') AS aws_key0, name AS aws_key1, "
@@ -281,6 +332,8 @@ ORACLES = {
     "overhead_ms": f"WITH {_TIMED}\nSELECT seq, round(value * 10 - CASE WHEN seq % 2 = 0 THEN user_id ELSE 0 END, 4) AS overhead_ms FROM timed",
     "metrics_summary": f"WITH {_TIMED}\nSELECT disposition, count(*) AS messages, min(since_publish_us) AS min_us, "
                        "max(since_publish_us) AS max_us, CAST(sum(since_publish_us) AS BIGINT) AS total_us FROM timed GROUP BY disposition",
+    "latency_percentiles": f"WITH {_TIMED}\nSELECT disposition, quantile_disc(since_publish_us, 0.5) AS p50_us, "
+                           "quantile_disc(since_publish_us, 0.95) AS p95_us FROM timed GROUP BY disposition",
     "sink_json": f"WITH {MESSAGES}\nSELECT session_name, seq, said FROM messages WHERE saved",
     "publish_envelopes": f"WITH {I.ENVELOPES}\nSELECT seq, subject, nullif(header, '') AS name, len(payload) AS n_chars FROM envelopes",
     "stream_mask": f"WITH {MESSAGES}\nSELECT session_name, seq, said FROM messages WHERE saved AND delivery = 1",

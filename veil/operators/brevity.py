@@ -71,21 +71,24 @@ def with_dictionary(docs: DataFrame, text: str = "text", out: str = "dictionary"
 
     Words that occur once or start with an ASCII digit are not abbreviated.
     """
-    listed, initials = f"_{out}_listed", f"_{out}_initials"
+    listed, starts = f"_{out}_listed", f"_{out}_starts"
     # Sorted by initial, then by first place: the number of a word is its
-    # distance from the first word with the same initial.
+    # distance from the first word with the same initial. There are few initials.
     known = pinned(with_vocabulary(docs, text), **{listed: F.expr(
         "sort_array(transform(filter(vocabulary, v -> size(v.places) > 1 AND "
         "NOT rlike(v.word, '^[0-9]')), v -> named_struct("
         "'initial', left(v.word, 1), 'first', v.first, 'word', v.word, 'places', v.places)))"
     )})
-    known = pinned(known, **{initials: F.expr(f"transform({listed}, v -> v.initial)")})
+    known = pinned(known, **{starts: F.expr(
+        f"map_from_entries(filter(transform({listed}, (v, i) -> IF(i = 0 OR "
+        f"get({listed}, i - 1).initial <> v.initial, struct(v.initial, i), NULL)), s -> s IS NOT NULL))"
+    )})
     return pinned(known, **{out: F.expr(
         f"transform(sort_array(transform({listed}, (v, i) -> named_struct("
         f"'first', v.first, 'word', v.word, 'places', v.places, 'abbr', concat(v.initial, "
-        f"i + 2 - array_position({initials}, v.initial))))), "
+        f"i + 1 - {starts}[v.initial])))), "
         "v -> named_struct('abbr', v.abbr, 'word', v.word, 'places', v.places))"
-    )}).drop(listed, initials)
+    )}).drop(listed, starts)
 
 
 def with_brief_text(docs: DataFrame, text: str = "text", out: str = "brief") -> DataFrame:

@@ -13,14 +13,16 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veil.functions.pin import pinned
 from veil.operators import model as model_ops
-from veil.operators.detect import with_found
+from veil.operators.detect import is_allowed, resolve, with_found
+from veil.operators.gazetteer import match_terms
 from veil.operators.pairs import FOUND, NONE_FOUND, in_order, usable, with_pairs
 from veil.operators.rewrite import log_texts, mask_log
 from veil.operators.transcript import log_transcript
 from veil.plans.outcome import with_disposition
 from veil.schema import OPERATORS, Operator
-from veil.sources.envelopes import session_name, with_defaults
+from veil.sources.envelopes import session_name, with_defaults, with_delivery_key
 from veil.sources.logs import log_json, with_log
 
 RESULT = (
@@ -50,22 +52,58 @@ def finish(rows: DataFrame, answered: Column, on_unparsed: str, deep: bool = Fal
     return done.withColumn("log", F.when(F.col("saved"), masked)).select(*RESULT)
 
 
+def with_lists(
+    rows: DataFrame, operators: tuple[Operator, ...], terms: DataFrame | None, allow: DataFrame | None
+) -> DataFrame:
+    """Add listed terms to ``_found``, and take allowed values out of it.
+
+    ``terms`` has (term, operator), ``allow`` has value, which stays in any case.
+    Both may be large: they meet the words and values of the messages in equi-joins, and
+    come back to their messages by the delivery key, one row per message.
+    """
+    rows = with_delivery_key(rows)
+    if terms is not None:
+        ranks = F.create_map(*[F.lit(x) for op in operators for x in (op.name, op.priority)])
+        texts = rows.select(F.col("delivery_key").alias("session_id"), F.col("_text").alias("text"))
+        hits = match_terms(texts, terms).select(
+            F.col("session_id").alias("delivery_key"),
+            F.struct("value", ranks[F.col("operator")].alias("priority"), "operator").alias("hit"),
+        ).where(F.col("hit.priority").isNotNull() & ~is_allowed("hit.value"))
+        listed = hits.groupBy("delivery_key").agg(F.collect_set("hit").alias("_listed"))
+        by_rule = F.transform(F.coalesce("_found", F.array()), lambda p: F.struct(
+            p["value"].alias("value"), ranks[p["operator"]].alias("priority"), p["operator"].alias("operator")))
+        both = rows.join(listed, "delivery_key", "left").withColumn("_hits", F.sort_array(F.concat(
+            by_rule, F.coalesce("_listed", F.array().cast("array<struct<value string, priority int, operator string>>")))))
+        rows = pinned(both, _merged=resolve("_hits", operators)).drop("_found", "_listed", "_hits").withColumnRenamed("_merged", "_found")
+    if allow is not None:
+        words = allow.select(F.lower("value").alias("word")).distinct()
+        values = rows.select("delivery_key", F.explode("_found.value").alias("value")).withColumn("word", F.lower("value"))
+        stays = values.join(words, "word", "left_semi").groupBy("delivery_key").agg(F.collect_set("value").alias("_stays"))
+        rows = rows.join(stays, "delivery_key", "left").withColumn("_found", F.filter(
+            "_found", lambda p: ~F.coalesce(F.array_contains("_stays", p["value"]), F.lit(False)))).drop("_stays")
+    return rows.drop("delivery_key")
+
+
 def mask_sessions(
     envelopes: DataFrame, operators: Iterable[Operator] = OPERATORS, scope: str = "all",
-    deep: bool = False,
+    deep: bool = False, terms: DataFrame | None = None, allow: DataFrame | None = None,
 ) -> DataFrame:
-    """Mask a batch with the rule detector. One row per message, no shuffle.
+    """Mask a batch with the rule detector. One row per message, no shuffle without lists.
 
     ``scope`` says what detection reads: ``all`` texts of the log, the chat
     ``messages``, or the ``transcript`` that a model would see. Replacements
-    apply to every text of the log in any case.
+    apply to every text of the log in any case. ``terms`` (term, operator) are
+    found as well, words and values of ``allow`` (value) stay; see :func:`with_lists`.
     """
+    operators = tuple(operators)
     rows = parsed(envelopes)
     if scope == "transcript":
         text = log_transcript(F.col("entries"))
     else:
         text = log_texts(F.col("entries"), scope)
     found = with_found(rows.withColumn("_text", text), "_text", "_found", operators)
+    if terms is not None or allow is not None:
+        found = with_lists(found, operators, terms, allow)
     ready = found.withColumn(
         "pairs", in_order(usable(F.coalesce("_found", F.array().cast(
             "array<struct<value string, replacement string, operator string>>"))))

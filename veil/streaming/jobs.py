@@ -123,6 +123,11 @@ def rules_process(rows: DataFrame, batch_id: int) -> DataFrame:
     return mask_sessions(rows)
 
 
+def lists_process(terms: DataFrame | None = None, allow: DataFrame | None = None) -> Process:
+    """Batch job with the rules, listed terms (term, operator) and values that stay (value)."""
+    return lambda rows, batch_id: mask_sessions(rows, terms=terms, allow=allow)
+
+
 def mask_stream(
     envelopes: DataFrame, root: str, process: Process = rules_process,
     remember: str | None = REMEMBER, max_attempts: int = MAX_ATTEMPTS,
