@@ -222,7 +222,7 @@ def _model_sql(columns: str) -> str:
 
     return (
         f"WITH {LINES},\nparts AS (SELECT string_agg(line, '' ORDER BY turn, line) AS transcript "
-        "FROM firsts GROUP BY session_id, turn // 256),\ncalls AS (SELECT DISTINCT transcript FROM parts)\n"
+        "FROM firsts GROUP BY session_id),\ncalls AS (SELECT DISTINCT transcript FROM parts)\n"
         f"SELECT sha256(transcript) AS text_key, {columns} FROM calls"
     )
 

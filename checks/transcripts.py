@@ -174,6 +174,7 @@ QUERIES = {
     "assistant_quotes": assistant_quotes,
     "dedup_lines": dedup_lines,
     "transcript": lambda spark, sf: T.transcripts(I.tagged(spark, sf)),
+    "transcript_parts": lambda spark, sf: T.transcript_parts(I.tagged(spark, sf)),
     "operators_block": lambda spark, sf: prompts(spark, sf).select(
         "k", optable.operators_block(F.col("prompt")).alias("block")),
     "operators_table": lambda spark, sf: optable.operators_table(prompts(spark, sf), ["k"]),
@@ -208,6 +209,9 @@ ORACLES = {
         "AND NOT contains(flat, '<assistant_response>')"),
     "dedup_lines": f"WITH {LINES}\nSELECT * FROM firsts",
     "transcript": (
+        f"WITH {LINES}\nSELECT session_id, string_agg(line, '' ORDER BY turn, line) AS transcript "
+        "FROM firsts GROUP BY session_id"),
+    "transcript_parts": (
         f"WITH {LINES}\nSELECT session_id, turn // 256 AS part, "
         "string_agg(line, '' ORDER BY turn, line) AS transcript FROM firsts GROUP BY session_id, turn // 256"),
     "operators_block": f"WITH {PROMPTS}\nSELECT k, block FROM blocks",

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from veil.plans import outcome
 from veil.plans.outcome import latest, save_logs
 from veil.sources.envelopes import first_delivery, from_kafka_columns
 from veil.streaming.jobs import write_batch
@@ -53,3 +54,12 @@ def test_a_repeated_batch_replaces_rows_also_by_none(spark, tmp_path):
     write_batch(df.limit(0), path, 2)
     got = spark.read.schema("id bigint, batch_id int").parquet(path)
     assert got.where("batch_id = 1").count() == 3 and got.where(F.col("batch_id") == 2).count() == 0
+
+
+def test_a_large_payload_is_kept(spark, monkeypatch):
+    monkeypatch.setattr(outcome, "READER_BYTES", 100)
+    rows = spark.createDataFrame([(1, "n", "x" * 200), (2, "n", "x"), (3, "n", "[]")], "seq int, session_name string, payload string").selectExpr(
+        "*", "current_timestamp() AS published", "'s' AS subject", "map('a', 'b') AS headers")
+    done = outcome.with_disposition(rows, F.col("session_name"), F.col("payload") == "[]")
+    assert {r.seq: r.disposition for r in done.collect()} == {1: "too_large", 2: "parse_error", 3: "ok"}
+    assert [r.payload for r in outcome.too_large(done).collect()] == ["x" * 200]

@@ -62,11 +62,12 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
     return lines.groupBy("session_id", "line").agg(F.min("turn").alias("turn"))
 
 
-def transcripts(turns: DataFrame, turns_per_part: int = 256) -> DataFrame:
+def transcript_parts(turns: DataFrame, turns_per_part: int = 256) -> DataFrame:
     """Transcript of every session, in parts of at most ``turns_per_part`` turns.
 
-    Parts are cut by turn number, which must be unique within a session. A
-    session shorter than that has the single part 0.
+    Parts are cut by turn number, which must be unique within a session, so a
+    session of any length is spread over as many tasks as it has parts. For
+    readers that take a transcript piece by piece.
     """
     lines = distinct_lines(turn_lines(turns))
     ordered = F.sort_array(F.collect_list(F.struct("turn", "line")))
@@ -75,3 +76,14 @@ def transcripts(turns: DataFrame, turns_per_part: int = 256) -> DataFrame:
         .groupBy("session_id", "part")
         .agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "").alias("transcript"))
     )
+
+
+def transcripts(turns: DataFrame) -> DataFrame:
+    """The whole transcript of every session, one row each.
+
+    It is put together from parts, so what meets in one task is a row per part,
+    and the text itself must fit a row.
+    """
+    parts = F.sort_array(F.collect_list(F.struct("part", "transcript")))
+    return transcript_parts(turns).groupBy("session_id").agg(
+        F.array_join(F.transform(parts, lambda x: x["transcript"]), "").alias("transcript"))

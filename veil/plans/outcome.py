@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from veil.functions.scalars import preview
 
 # Values of ``disposition``.
-OK, NO_NAME, PARSE_ERROR, MODEL_ERROR, UNUSABLE = (
-    "ok", "no_session_name", "parse_error", "model_error", "unusable_response",
+OK, NO_NAME, PARSE_ERROR, MODEL_ERROR, UNUSABLE, TOO_LARGE = (
+    "ok", "no_session_name", "parse_error", "model_error", "unusable_response", "too_large",
 )
+# The JSON reader does not take every valid text above this many bytes.
+READER_BYTES = 16 * 1024 * 1024
 
 
 def with_disposition(
@@ -21,13 +23,17 @@ def with_disposition(
 
     A message without a session name and one whose model call failed come back
     later; one that cannot be parsed is consumed and goes to the quarantine,
-    and so does one with an unusable response, if ``usable`` is given.
+    and so does one with an unusable response, if ``usable`` is given. A payload
+    above ``READER_BYTES`` that cannot be parsed may be valid all the same: it
+    is ``too_large``, and :func:`too_large` keeps it whole.
     """
+    size = F.octet_length("payload") if "payload" in rows.columns else F.lit(0)
     answered = F.lit(True) if answered is None else answered
     usable = F.lit(True) if usable is None else usable
     return rows.withColumn(
         "disposition",
         F.when(F.coalesce(name, F.lit("")) == "", NO_NAME)
+        .when(~parsed & (size > READER_BYTES), TOO_LARGE)
         .when(~parsed, PARSE_ERROR)
         .when(~answered, MODEL_ERROR)
         .when(~usable, UNUSABLE)
@@ -45,6 +51,12 @@ def quarantine(rows: DataFrame) -> DataFrame:
     )
 
 
+def too_large(rows: DataFrame) -> DataFrame:
+    """Messages that the JSON reader could not take, with their whole payload."""
+    return rows.where(F.col("disposition") == TOO_LARGE).select(
+        "seq", "published", "subject", "headers", "session_name", "payload")
+
+
 def latest(
     rows: DataFrame, name: str = "session_name", seq: str = "seq",
     then: tuple[str, ...] = ("published", "batch_id"),

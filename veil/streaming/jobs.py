@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from veil.operators import model as model_ops
 from veil.plans.mask import askable, mask_answered, mask_sessions, with_transcripts
-from veil.plans.outcome import latest, quarantine
+from veil.plans.outcome import latest, quarantine, too_large
 from veil.schema import ENVELOPE
 from veil.sources.envelopes import with_delivery_key
 
@@ -105,6 +105,7 @@ def run_batch(
             folders.sessions, batch_id,
         )
         write_batch(quarantine(done), folders.quarantine, batch_id)
+        write_batch(too_large(done), folders.too_large, batch_id)
         write_batch(
             done.select("seq", "session_name", "disposition", "saved", "retry", "pair_status",
                         "published", F.current_timestamp().alias("finished"), "attempts"),
