@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 
 from veil.llm.common import bytes_of, joined, keyed_text, map_arrow, ragged
@@ -155,7 +156,8 @@ class Tokenizer:
             self.rank[vocab[a] << 32 | vocab[b]] = k
             self.merged.append(vocab[a + b])
         self.special = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))).encode()) if self.added else None
-        self.words: dict[bytes, np.ndarray] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.packed = [i.to_bytes(4, "little") for i in range(len(self.token))]
 
     def encode_word(self, word: bytes) -> list[int]:
         """Ids of one word by repeated deletion of the boundary of least rank."""
@@ -222,13 +224,14 @@ class Tokenizer:
         offsets = np.concatenate((starts, [len(data)])).astype(np.int32)
         words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
         coded = words.dictionary_encode()
-        distinct = [self._ids(w) for w in coded.dictionary.to_pylist()]
+        known, ids_of = self.words.get, self._ids
+        distinct = [known(w) or ids_of(w) for w in coded.dictionary.to_pylist()]
         if len(whole):
             coded_special = {w: i for i, w in enumerate(coded.dictionary.to_pylist()) if w.decode(errors="ignore") in self.added}
             for w, i in coded_special.items():
-                distinct[i] = np.array([self.added[w.decode()]], np.uint32)
-        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct))
-        flat = np.concatenate(distinct)
+                distinct[i] = self.added[w.decode()].to_bytes(4, "little")
+        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) >> 2
+        flat = np.frombuffer(b"".join(distinct), "<u4")
         code = coded.indices.to_numpy()
         per_word = sizes[code]
         ids = flat[ragged((np.cumsum(sizes) - sizes)[code], per_word)]
@@ -236,12 +239,14 @@ class Tokenizer:
         last = np.cumsum(counts)
         return ids, total[last] - total[last - counts]
 
-    def _ids(self, word: bytes) -> np.ndarray:
+    def _ids(self, word: bytes) -> bytes:
+        """Ids of a word as little-endian numbers of four bytes."""
         got = self.words.get(word)
         if got is None:
             if len(self.words) >= KEPT_WORDS:
                 self.words.clear()
-            got = np.array(self.encode_word(word), np.uint32)
+            ids = self.encode_word(word)
+            got = np.array(ids, "<u4").tobytes() if len(ids) > 12 else b"".join([self.packed[i] for i in ids])
             if len(word) <= LONG_WORD:
                 self.words[word] = got
         return got
@@ -251,9 +256,30 @@ class Tokenizer:
         return b"".join([token[i] for i in ids.tolist()]).decode("utf-8", "replace")
 
 
+class LibraryTokenizer(Tokenizer):
+    """The same tables and words, each word being encoded by the ``tiktoken`` library.
+
+    For operators that only need the ids. Its ranks are token ids, so it takes files whose
+    merges are numbered in order, and all others are encoded by the rank array.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        in_order = all(a < b for a, b in zip(self.merged, self.merged[1:], strict=False))
+        if in_order and max(self.of_byte) < min(self.merged):
+            ordinary = {t: i for i, t in enumerate(self.token) if t and t.decode("utf-8", "replace") not in self.added}
+            # Words come one by one, so all of a word is one piece.
+            self.library = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ordinary, special_tokens={})
+
+            def encode_word(word: bytes) -> list[int]:
+                return self.library.encode_ordinary(word.decode()) if len(word) <= LONG_WORD else Tokenizer.encode_word(self, word)
+
+            self.encode_word = encode_word
+
+
 @lru_cache(maxsize=2)
-def tokenizer(path: str) -> Tokenizer:
-    return Tokenizer(path)
+def tokenizer(path: str, library: bool = False) -> Tokenizer:
+    return LibraryTokenizer(path) if library else Tokenizer(path)
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

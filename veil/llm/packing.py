@@ -49,7 +49,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     texts = keyed_text(docs, id_col, text_col)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, counts = tokenizer(path).encode(batch.column(1))
+        ids, counts = tokenizer(path, library=True).encode(batch.column(1))
         row, piece, start, length, crc, data = [], [], [], [], [], []
         at = 0
         for r, n in enumerate(counts.tolist()):
