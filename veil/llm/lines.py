@@ -96,7 +96,8 @@ def _later(windows: DataFrame, ranks: DataFrame, width: int) -> DataFrame:
         tail = ranks.select("doc", F.col("at").alias("tail"), F.col("rank").alias("r2"))
         named = head.withColumn("tail", F.col("at") + F.col("m") - width).join(tail, ["doc", "tail"])
     named = stored(named.select("doc", "at", "m", "r1", "r2"), "line-windows")
-    first = named.groupBy("m", "r1", "r2").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    # Written, so that the join has a plain exchange on either side: only such a join is split at a hot key.
+    first = stored(named.groupBy("m", "r1", "r2").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")).where("n > 1"), "line-intervals")
     return named.join(first, ["m", "r1", "r2"]).where(F.struct("doc", "at") > F.col("first")).select("doc", "at", "m")
 
 
@@ -139,7 +140,7 @@ def without_windows(text: str, windows: list[tuple[int, int]]) -> tuple[str, int
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with its repeated line runs cut from ``text_col``, and ``n_lines`` and ``n_removed``."""
+    """``docs`` with its repeated line runs cut from ``text_col``, and ``n_lines`` and ``n_removed`` (in the place of columns of these names)."""
     copies = repeated_windows(docs, min_words, id_col, text_col)
     of_doc = copies.groupBy("doc").agg(F.collect_list(F.struct("at", "m")).alias("__windows")).select(
         F.col("doc.doc_id").alias("__id"), F.col("doc.digest").alias("__digest"), "__windows")
@@ -152,7 +153,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
         for batch in batches:
             yield pa.RecordBatch.from_arrays([digest(batch), *batch.columns], names=["__digest", *batch.schema.names])
 
-    others = [c for c in docs.columns if c != text_col]
+    others = [c for c in docs.columns if c not in (text_col, "n_lines", "n_removed")]
     rows = docs.select(*others, text_col)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     rows = rows.mapInArrow(keyed, f"__digest bigint, {fields}")
@@ -174,4 +175,5 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
                     [*part.columns[:-2], pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())],
                     names=[*others, text_col, "n_lines", "n_removed"])
 
-    return met.mapInArrow(cut, f"{fields}, n_lines bigint, n_removed bigint").select(*docs.columns, "n_lines", "n_removed")
+    return met.mapInArrow(cut, f"{fields}, n_lines bigint, n_removed bigint").select(
+        *(c for c in docs.columns if c not in ("n_lines", "n_removed")), "n_lines", "n_removed")
