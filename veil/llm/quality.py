@@ -32,7 +32,7 @@ from veil.llm.common import bytes_of, joined, keyed_text, map_arrow, ragged, sli
 BUCKETS, DIMENSIONS = 1 << 18, 16
 NGRAMS = (3, 4, 5)
 #: Most labelled rows that training looks at.
-TRAIN_ROWS = 4000
+TRAIN_ROWS = 3000
 EPOCHS, RATE = 12, 0.6
 KEEP_FROM = 0.3
 BACK = 0  # bucket of the back reference
@@ -191,10 +191,15 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
         return pa.RecordBatch.from_arrays([batch.column(2), joined(ids, sizes), joined(weight, sizes)], names=["label", "ids", "weight"])
 
     texts = keyed_text(docs, id_col, text_col).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "label")
-    got = map_arrow(texts, work, "label int, ids binary, weight binary").toArrow().to_pylist()
-    rows_ = [(r["label"], np.frombuffer(r["ids"], np.int32), np.frombuffer(r["weight"], np.float32)) for r in got]
+    got = map_arrow(texts, work, "label int, ids binary, weight binary").toArrow()
+    rows_ = []
+    for batch in got.to_batches():  # views of what arrived, not copies
+        label, ids, weight = (batch.column(c) for c in ("label", "ids", "weight"))
+        rows_ += [
+            (label[k].as_py(), np.frombuffer(ids[k].as_buffer(), np.int32), np.frombuffer(weight[k].as_buffer(), np.float32))
+            for k in range(batch.num_rows)]
     # The order of collected rows is not fixed; the order of training is.
-    return train(sorted(rows_, key=lambda r: (r[0], len(r[1]), r[1].tobytes()[:64])))
+    return train(sorted(rows_, key=lambda r: (r[0], len(r[1]), r[1][:64].tobytes(), r[2][:64].tobytes())))
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
