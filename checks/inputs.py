@@ -320,11 +320,11 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
 
     tag = F.lit
     content = (
-        F.when(sort == 0, found(head, tag("[PERSON]"), F.concat(F.lit("user"), s, F.lit("@example.com")),
-                                F.lit("user@e**********")))
-        .when(sort == 1, found(tag("[PERSON]"), head, F.lit("1234 **** **** ****"),
-                               F.concat(F.lit("1234 5678 1234 "), s)))
-        .when(sort == 2, found(head, tag("[ASDF]"), F.concat(F.lit("x"), s), tag("[LOCATION]")))
+        F.when(sort == 0, found(head, tag("[PERSON]"), F.concat(F.lit("desk"), s, F.lit("@corp.example")),
+                                F.concat(F.lit("desk"), s, F.lit("****"))))
+        .when(sort == 1, found(tag("[PERSON]"), head, F.concat(F.lit("acct"), s, F.lit("****")),
+                               F.concat(F.lit("acct"), s, F.lit("0042"))))
+        .when(sort == 2, found(head, tag("[STRANGE]"), F.concat(F.lit("x"), s), tag("[LOCATION]")))
         .when(sort == 3, F.concat(F.lit("```json\n"), found(head, tag("[PERSON]")), F.lit("\n```")))
         .when(sort == 6, F.concat(
             F.lit('{"redactions":{"n":5,"z":null,"q'), s, F.lit('":"[URL]","[PIN]":"q'), s,
@@ -343,20 +343,20 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
     return (
         turns(spark, sf).where(F.col("turn") == 0)
         .select("session_id", (F.floor(F.col("session_id") / 3) % 8).alias("sort"),
-                F.concat(F.lit("h"), F.substring("text", 1, 12)).alias("head"))
+                F.concat(F.lit("h"), F.col("text")).alias("head"))
         .select("session_id", F.concat(F.lit('{"id":"r","choices":['), body, F.lit("]}")).alias("response"))
     )
 
 
 RESPONSES = f"""{TURNS},
 response_heads AS (SELECT session_id, (session_id // 3) % 8 AS sort,
-    concat('h', substr(text, 1, 12)) AS head FROM turns WHERE turn = 0),
+    concat('h', text) AS head FROM turns WHERE turn = 0),
 response_contents AS (SELECT session_id, sort, CASE sort
     WHEN 0 THEN CAST(json_object('redactions', json_object(head, '[PERSON]',
-        concat('user', session_id, '@example.com'), 'user@e**********')) AS VARCHAR)
+        concat('desk', session_id, '@corp.example'), concat('desk', session_id, '****'))) AS VARCHAR)
     WHEN 1 THEN CAST(json_object('redactions', json_object('[PERSON]', head,
-        '1234 **** **** ****', concat('1234 5678 1234 ', session_id))) AS VARCHAR)
-    WHEN 2 THEN CAST(json_object('redactions', json_object(head, '[ASDF]',
+        concat('acct', session_id, '****'), concat('acct', session_id, '0042'))) AS VARCHAR)
+    WHEN 2 THEN CAST(json_object('redactions', json_object(head, '[STRANGE]',
         concat('x', session_id), '[LOCATION]')) AS VARCHAR)
     WHEN 3 THEN concat('```json', chr(10), CAST(json_object('redactions',
         json_object(head, '[PERSON]')) AS VARCHAR), chr(10), '```')
