@@ -72,3 +72,12 @@ def test_masking_twice_changes_nothing_more(spark):
                      "bob@e" + "*" * 10 + " again"]
     twice = W.mask_turns(once, D.detect(df)).orderBy("turn").collect()
     assert [r["masked_text"] for r in twice] == texts
+
+
+def test_turns_without_number_are_masked_and_spread(spark):
+    rows = [(1, None, f"text {k} of Ann Lee") for k in range(300)]
+    turns = spark.createDataFrame(rows, "session_id bigint, turn int, text string")
+    found = spark.createDataFrame([(1, "Ann Lee", "[PERSON]")], "session_id bigint, value string, replacement string")
+    out = W.mask_turns(turns, found).collect()
+    assert len(out) == 300 and all(r["masked_text"].endswith("of [PERSON]") for r in out)
+    assert turns.select(W._block()).distinct().count() > 200

@@ -157,6 +157,8 @@ def log_texts(log: Column, scope: str = "all") -> Column:
     return F.array_join(F.flatten(F.transform(log, pick)), "\n")
 
 
+# Blocks of a session for turns without a number.
+BLOCKS_WITHOUT_NUMBER = 4096
 # Sessions with more pairs than this never have them collected into one row.
 MAX_PAIRS_IN_ROW = 1000
 # Turns of a session that share one row of pairs in the join.
@@ -168,8 +170,9 @@ SALTS = 32
 
 
 def _block(turn: str = "turn") -> Column:
-    # A turn without a number belongs to the first block, so that it is masked too.
-    return F.coalesce(F.floor(F.col(turn) / BLOCK).cast("bigint"), F.lit(0)).alias("block")
+    # Turns without a number go to blocks of their own by the hash of their text.
+    unnumbered = -1 - F.pmod(F.xxhash64("text"), F.lit(BLOCKS_WITHOUT_NUMBER))
+    return F.coalesce(F.floor(F.col(turn) / BLOCK).cast("bigint"), unnumbered).alias("block")
 
 
 def _pair_array() -> Column:
