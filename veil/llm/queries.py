@@ -92,6 +92,53 @@ ORACLES: dict[str, str] = {
                sha256(text) AS text_sha256
         FROM t""",
     "op4_urls": hosttrust.oracle_sql(URL_RULES),
+    "op9_embeddings": """
+        WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        sound AS (
+          SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        links AS MATERIALIZED (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+          ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+        reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+        counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM v JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)""",
+    "op10_lines": """
+        WITH cut AS (
+          SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS k FROM documents),
+        counted AS (
+          SELECT *, len(list_filter(regexp_split_to_array(line, '[\\x09-\\x0D\\x20]+'), lambda x: x <> '')) AS words FROM cut),
+        inked AS MATERIALIZED (
+          SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS i,
+                 sum(words) OVER (PARTITION BY doc_id ORDER BY k) AS upto FROM counted WHERE words > 0),
+        ahead AS (
+          SELECT a.doc_id, a.i AS a, b.i AS b FROM (SELECT *, upto - words + 50 AS need FROM inked) a
+          ASOF JOIN inked b ON a.doc_id = b.doc_id AND a.need <= b.upto),
+        behind AS (
+          SELECT b.doc_id, a.i AS a, b.i AS b FROM (SELECT *, upto - 50 AS most FROM inked) b
+          ASOF JOIN (SELECT *, upto - words AS before FROM inked) a ON a.doc_id = b.doc_id AND b.most >= a.before),
+        windows AS (SELECT * FROM ahead UNION SELECT * FROM behind),
+        texts AS (SELECT doc_id, list(line ORDER BY i) AS parts FROM inked GROUP BY doc_id),
+        copies AS (
+          SELECT doc_id, a, b FROM windows JOIN texts USING (doc_id)
+          QUALIFY row_number() OVER (PARTITION BY array_to_string(list_slice(parts, a, b), chr(10)) ORDER BY doc_id, a) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM copies),
+        marked AS (
+          SELECT c.doc_id, c.k, c.line, CASE WHEN c.words > 0 THEN CAST(g.i IS NOT NULL AS INT) END AS cut
+          FROM counted c LEFT JOIN inked n ON c.doc_id = n.doc_id AND c.k = n.k LEFT JOIN gone g ON g.doc_id = c.doc_id AND g.i = n.i),
+        judged AS (
+          SELECT doc_id, k, line,
+            coalesce(last_value(cut IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) = 1
+            AND coalesce(first_value(cut IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) = 1 AS removed
+          FROM marked),
+        kept AS (
+          SELECT doc_id, string_agg(line, chr(10) ORDER BY k) FILTER (NOT removed) AS kept_text, count(*) AS n_lines,
+                 CAST(sum(CAST(removed AS INT)) AS BIGINT) AS n_removed FROM judged GROUP BY doc_id)
+        SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(kept_text, '') END AS text, n_lines, n_removed
+        FROM documents JOIN kept USING (doc_id)""",
     "op5_warc": """
         WITH t AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
         d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM t),
