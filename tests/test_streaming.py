@@ -105,4 +105,6 @@ def test_files_as_objects_and_sinks(spark, tmp_path):
         out = str(tmp_path / "out" / fmt)
         save_logs(rows, out, fmt)
         save_logs(rows, out, fmt)
+        assert spark.read.format(fmt).load(out).count() == 2
+        save_logs(rows, out, fmt, mode="overwrite")
         assert spark.read.format(fmt).load(out).count() == 1
