@@ -110,11 +110,12 @@ def _codes(classes: DataFrame, k_of: dict[int, int]) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                sizes = np.array(part.column(2).value_lengths())
+                values, ends = _lists(part.column(2))
+                sizes = np.diff(ends)
                 codes: list = [None] * part.num_rows
                 for dim in np.unique(sizes):
                     rows = np.flatnonzero(sizes == dim)
-                    x = unit(np.array([v for v in part.column(2).take(pa.array(rows)).to_pylist()], float))
+                    x = unit(values[(ends[rows][:, None] + np.arange(dim)).ravel()].reshape(len(rows), dim).astype(float))
                     k = k_of[int(dim)]
                     got = hash_codes(x, rotations(int(dim), TABLES * k), k).reshape(len(rows), -1)
                     for r, c in zip(rows, got, strict=True):
@@ -125,30 +126,30 @@ def _codes(classes: DataFrame, k_of: dict[int, int]) -> DataFrame:
     return classes.mapInArrow(run, f"c bigint, n bigint, v {kind}, codes array<bigint>")
 
 
+#: ids, weights, unit vectors and codes of some rows.
+Rows = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+#: Rows that are held against a block at once.
+AT_ONCE = 1024
+
+
 class _Bucket:
     """The block of own vectors of one bucket, against which members and probes are held."""
 
-    def __init__(self, key: tuple, least: float):
-        self.table, self.least = key[0], least
-        self.rows: list[tuple] = []
-        self.ready = None
+    def __init__(self, table: int, least: float):
+        self.table, self.least = table, least
+        self.parts: list[Rows] = []
 
-    def matrix(self, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        ids = np.array([r[0] for r in rows], np.int64)
-        weight = np.array([r[1] for r in rows], np.int64)
-        codes = np.array([r[3] for r in rows], np.int64).reshape(len(rows), TABLES, -1)
-        return ids, weight, unit(np.array([r[2] for r in rows], float)), codes
+    def own(self) -> Rows:
+        if len(self.parts) > 1:
+            self.parts = [tuple(np.concatenate(x) for x in zip(*self.parts, strict=True))]
+        return self.parts[0]
 
-    def meet(self, rows: list[tuple] | None, out: list[tuple]) -> None:
+    def meet(self, rows: Rows | None, out: list[tuple]) -> None:
         """Links of the block with further rows; ``None`` stands for the block itself."""
-        if not self.rows:
-            return
-        if self.ready is None:
-            self.ready = self.matrix(self.rows)
-        ids, weight, x, codes = self.ready
-        for at in range(0, len(ids) if rows is None else len(rows), 1024):
-            own = slice(at, at + 1024)
-            ids2, weight2, y, codes2 = (z[own] for z in self.ready) if rows is None else self.matrix(rows[own])
+        ids, weight, x, codes = self.own()
+        others = self.own() if rows is None else rows
+        for at in range(0, len(others[0]), AT_ONCE):
+            ids2, weight2, y, codes2 = (z[at : at + AT_ONCE] for z in others)
             i, j = np.nonzero(x @ y.T >= self.least)
             # Own vectors meet once, as pairs in order of id.
             keep = ids[i] < ids2[j] if rows is None else ids[i] != ids2[j]
@@ -162,7 +163,8 @@ class _Bucket:
             back = (q[:, self.table, :1] == p[:, self.table]).any(-1)  # found from the other side as well
             keep &= (ids[i] < ids2[j]) | ~back
             i, j = i[keep], j[keep]
-            self.count(ids, weight, ids2, weight2, i, j, out)
+            if len(i):
+                self.count(ids, weight, ids2, weight2, i, j, out)
 
     def count(self, ids, weight, ids2, weight2, i, j, out) -> None:
         for mine, theirs, k, m in ((ids, weight2, i, j), (ids2, weight, j, i)):
@@ -184,6 +186,12 @@ class _Bucket:
                 out.append((a, b, 0))
 
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of a list column without nulls."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    return column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False), offsets - offsets[0]
+
+
 def _links(coded: DataFrame, least: float, block: int) -> DataFrame:
     """(a, null, n): n links of class a; (a, b, 0): one link of a spanning set."""
     kind = coded.schema["v"].dataType.simpleString()
@@ -202,31 +210,31 @@ def _links(coded: DataFrame, least: float, block: int) -> DataFrame:
     ).select("t", "dim", "bucket", "s", "role", "c", "n", "v", "codes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, bucket, waiting, out = None, None, [], []
-
-        def flush() -> None:
-            if bucket is not None and waiting:
-                bucket.meet(waiting, out)
-                waiting.clear()
+        key, bucket, out = None, None, []
 
         def close() -> None:
-            if bucket is not None:
+            if bucket is not None and bucket.parts and (len(bucket.parts) > 1 or len(bucket.parts[0][0]) > 1):
                 bucket.meet(None, out)
-                flush()
 
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(9)]
-            for t, dim, b, s, role, *rest in zip(*columns, strict=True):
-                if (t, dim, b, s) != key:
+            keys = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(5)], axis=1)
+            ids, weight = batch.column(5).to_numpy(), batch.column(6).to_numpy()
+            values, ends = _lists(batch.column(7))
+            codes, code_ends = _lists(batch.column(8))
+            edges = np.concatenate(([0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, [len(keys)]))
+            for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                *now, role = keys[i].tolist()
+                if now != key:
                     close()
-                    key = (t, dim, b, s)
-                    bucket = _Bucket(key, least)
-                if role == 0:
-                    bucket.rows.append(tuple(rest))
-                elif bucket.rows:
-                    waiting.append(tuple(rest))
-                    if len(waiting) >= 1024:
-                        flush()
+                    key, bucket = now, _Bucket(now[0], least)
+                if role and not bucket.parts:
+                    continue
+                x = unit(values[ends[i] : ends[j]].reshape(j - i, -1).astype(float))
+                rows = (ids[i:j], weight[i:j], x, codes[code_ends[i] : code_ends[j]].reshape(j - i, TABLES, -1))
+                if role:
+                    bucket.meet(rows, out)
+                else:
+                    bucket.parts.append(rows)
             if out:
                 yield as_batch(out)
                 out.clear()
