@@ -35,6 +35,8 @@ NGRAMS = (3, 4, 5)
 TRAIN_ROWS = 3000
 EPOCHS, RATE = 12, 0.6
 KEEP_FROM = 0.3
+#: Bytes of text analysed at once: n-grams take some hundred bytes for each.
+SLICE = 1 << 20
 BACK = 0  # bucket of the back reference
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -191,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
         return pa.RecordBatch.from_arrays([batch.column(2), joined(ids, sizes), joined(weight, sizes)], names=["label", "ids", "weight"])
 
     texts = keyed_text(docs, id_col, text_col).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "label")
-    got = map_arrow(texts, work, "label int, ids binary, weight binary").toArrow()
+    got = map_arrow(texts, work, "label int, ids binary, weight binary", SLICE).toArrow()
     rows_ = []
     for batch in got.to_batches():  # views of what arrived, not copies
         label, ids, weight = (batch.column(c) for c in ("label", "ids", "weight"))
@@ -210,7 +212,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores(batch.column(1), *sent.value))], names=["doc_id", "score"])
 
     texts = keyed_text(docs, id_col, text_col)
-    out = map_arrow(texts, work, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, score double")
+    out = map_arrow(texts, work, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, score double", SLICE)
     return out.withColumn("predicted", (F.col("score") >= keep_from).cast("int"))
 
 
@@ -222,7 +224,7 @@ def keep_documents(docs: DataFrame, model: Model, text_col: str = "text", keep_f
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(at).fill_null("")
-            parts = [scores(part.column(0), *sent.value) for part in slices(pa.RecordBatch.from_arrays([text], names=["text"]))]
+            parts = [scores(part.column(0), *sent.value) for part in slices(pa.RecordBatch.from_arrays([text], names=["text"]), limit=SLICE)]
             if parts:
                 yield batch.filter(pa.array(np.concatenate(parts) >= keep_from))
 
