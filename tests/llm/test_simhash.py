@@ -128,3 +128,38 @@ def test_large_shards_link_as_pairs_do():
     every = range(len(numbers))
     assert brute_components(every, got) == brute_components(every, links)
     assert simhash.distance_of(0.8) == 38
+
+
+def jaccard(a, b):
+    a, b = (set(zip(*(t.lower().split()[k:] for k in range(5)), strict=False)) for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_texts_that_share_a_repeated_phrase_stay(spark):
+    rng = random.Random(8)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n))
+
+    line = words(19)
+    texts = []
+    for repeats in (10, 50, 200):
+        texts += [" ".join(f"{line} {words(4)}" for _ in range(repeats)) for _ in range(4)]
+    assert max(jaccard(a, b) for i, a in enumerate(texts) for b in texts[:i]) < 0.8
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert simhash.keep_one(docs).count() == len(texts)
+
+
+def test_groups_are_those_of_exact_similarity(spark):
+    rng = random.Random(9)
+    rows = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        for share in (0, 0.005, 0.01, 0.03, 0.05):
+            rows.append((len(rows), " ".join(f"x{rng.randrange(10**6)}" if rng.random() < share else w for w in base)))
+    links = [(i, j) for i, a in rows for j, b in rows[:i] if jaccard(a, b) >= 0.8]
+    want = brute_components([i for i, _ in rows], links)
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(want[got[i]] == want[i] for i in got)  # no link below the similarity
+    met = sum(got[i] == got[j] for i, j in links)
+    assert met >= 0.9 * len(links)

@@ -17,9 +17,10 @@ shard returns a spanning set of its links, never all pairs.
 which a Jaccard similarity of 0.8 is a distance of 38. That is beyond any exact blocking, so
 shards are the values of randomly chosen bits, in as many tables as a pair at a distance of
 ``USUAL`` of all bits needs to meet with probability ``MEET``; the number of bits grows with
-the logarithm of the fingerprints, so shards keep their size. Inside a shard the links
-are complete: small shards through their BK-tree, larger ones through pivots and then all
-members outside the largest component.
+the logarithm of the fingerprints, so shards keep their size. Prints give candidates only, from
+distinct shingles; a link is a pair whose shingle sets have the similarity, computed exactly.
+Two rounds test the nearest and the least candidate of each class of equal sets; a last one tests
+all candidates that are still in different groups.
 
 Results: a null text counts as empty; texts without words have fingerprint zero and link
 like any other. Rows may repeat. ``component_id`` is the least id that links reach,
@@ -78,8 +79,16 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
 
 
 def wide_fingerprint(text: bytes, words: int = SIMILAR_WORDS) -> bytes:
-    """A fingerprint of ``LANES`` * 64 bits, from as many mixtures of each shingle's hash."""
-    hashes = _shingle_hashes(text, words)
+    """A fingerprint of ``LANES`` * 64 bits, from as many mixtures of each distinct shingle's hash."""
+    return _wide_print(shingle_set(text, words))
+
+
+def shingle_set(text: bytes, words: int = SIMILAR_WORDS) -> np.ndarray:
+    """The distinct shingle hashes, ascending."""
+    return np.unique(_shingle_hashes(text, words))
+
+
+def _wide_print(hashes: np.ndarray) -> bytes:
     out = []
     for lane in range(LANES):
         h = hashes + np.uint64((lane * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
@@ -300,72 +309,183 @@ def _large_shard(values: list[bytes], radius: int) -> list[tuple[int, int]]:
     return out
 
 
-def similar_links(nodes: DataFrame, radius: int, bits: np.ndarray) -> DataFrame:
-    """Links (a, b) between ``node`` numbers whose ``fp`` differ in at most ``radius`` bits and share a shard."""
+def _cross(node: np.ndarray, label: np.ndarray, size: np.ndarray, x: np.ndarray, radius: int, least: float) -> Iterator[tuple]:
+    """Chunks (rows, ok, d): members of a shard against all its members of another label."""
+    names, at, counts = np.unique(label, return_inverse=True, return_counts=True)
+    rest = np.flatnonzero(at != counts.argmax())
+    inside = np.zeros(len(x), bool)
+    inside[rest] = True
+    step = max(1, (1 << 20) // len(x))
+    for k in range(0, len(rest), step):
+        rows = rest[k : k + step]
+        d = np.bitwise_count(x[rows][:, None] ^ x[None]).sum(2, dtype=np.int32)
+        ok = (d <= radius) & (label[rows][:, None] != label[None])
+        ok &= np.minimum(size[rows][:, None], size[None]) >= least * np.maximum(size[rows][:, None], size[None]) - 1e-6
+        yield rows, ok, d, inside
+
+
+def similar_candidates(nodes: DataFrame, radius: int, bits: np.ndarray, least: float, every: bool) -> DataFrame:
+    """Pairs (a, b) of nodes of different ``label`` that share a shard, within ``radius`` bits.
+
+    ``nodes`` has ``node``, ``label``, ``size`` (of the shingle set) and ``fp``. With ``every`` all such
+    pairs, each once; else the nearest and the least partner of a node. Pairs whose sizes alone
+    rule out a similarity of ``least`` are left out.
+    """
     power = 1 << np.arange(bits.shape[1], dtype=np.int64)
+    spread = np.zeros((len(bits), 64 * LANES), np.uint8)
+    np.put_along_axis(spread, bits, 1, axis=1)
+    masks = np.packbits(spread, axis=1, bitorder="little").view(np.uint64)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                raw = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                raw = np.frombuffer(b"".join(part.column(3).to_pylist()), np.uint8).reshape(part.num_rows, -1)
                 spread = np.unpackbits(raw, axis=1, bitorder="little")
                 keys = np.concatenate([spread[:, b] @ power for b in bits])
                 index = pa.array(np.tile(np.arange(part.num_rows), len(bits)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.arange(len(bits), dtype=np.int32), part.num_rows)), pa.array(keys), part.column(0).take(index), part.column(1).take(index)],
-                    names=["t", "key", "node", "fp"])
+                    [pa.array(np.repeat(np.arange(len(bits), dtype=np.int32), part.num_rows)), pa.array(keys), *(c.take(index) for c in part.columns)],
+                    names=["t", "key", "node", "label", "size", "fp"])
+
+    def shard(t: int, parts: list[tuple]) -> Iterator[tuple]:
+        node, label, size, x = (np.concatenate(c) for c in zip(*parts, strict=True)) if len(parts) > 1 else parts[0]
+        if len(node) < 2 or (label == label[0]).all():
+            return
+        if not every and len(node) > SHARD and len(np.unique(label)) == len(label):
+            links = np.array(_large_shard([v.tobytes() for v in x], radius), np.int64).reshape(-1, 2)
+            d = np.bitwise_count(x[links[:, 0]] ^ x[links[:, 1]]).sum(1, dtype=np.int32)
+            yield node[links[:, 1]], node[links[:, 0]], d
+            return
+        for rows, ok, d, inside in _cross(node, label, size, x, radius, least):
+            if every:
+                ok &= ~inside[None] | (rows[:, None] < np.arange(len(x))[None])
+                i, j = np.nonzero(ok)
+                for k in range(0, len(i), 4096):
+                    p, q = rows[i[k : k + 4096]], j[k : k + 4096]
+                    # Only the first table in which a pair meets has it.
+                    apart = x[p] ^ x[q]
+                    met = ~((apart[:, None] & masks[None, :t]) != 0).any(2)
+                    new = ~met.any(1)
+                    yield node[p[new]], node[q[new]], d[i[k : k + 4096], q][new]
+                continue
+            has = np.flatnonzero(ok.any(1))
+            if not len(has):
+                continue
+            rows, ok, d = rows[has], ok[has], d[has]
+            row = np.arange(len(rows))
+            for j in (np.where(ok, d, 1 << 20).argmin(1), np.where(ok, node[None], np.iinfo(np.int64).max).argmin(1)):
+                yield node[rows], node[j], d[row, j]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, nodes_, values = None, [], []
-        a: list[int] = []
-        b: list[int] = []
+        key, held, out, waiting = None, [], [], 0
 
-        def close() -> None:
-            if len(values) > SHARD // 8:
-                links = _large_shard(values, radius)
-                a.extend(nodes_[i] for i, _ in links), b.extend(nodes_[j] for _, j in links)
-            elif len(values) > 1:
-                numbers = [int.from_bytes(v, "little") for v in values]
-                of = dict(zip(numbers, nodes_, strict=True))
-                for x, y in _spanning(numbers, radius):
-                    a.append(of[x]), b.append(of[y])
-            nodes_.clear(), values.clear()
+        def flush() -> pa.RecordBatch:
+            nonlocal waiting
+            a, b, d = (np.concatenate(c) for c in zip(*out, strict=True))
+            out.clear()
+            waiting = 0
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(d.astype(np.int32))], names=["a", "b", "d"])
 
         for batch in batches:
-            for t, k, node, fp in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if (t, k) != key:
-                    close()
-                    key = (t, k)
-                nodes_.append(node), values.append(fp)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-                a.clear(), b.clear()
-        close()
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            if not batch.num_rows:
+                continue
+            t, k, node, label, size = (batch.column(i).to_numpy() for i in range(5))
+            x = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint64).reshape(len(t), -1)
+            edges = np.concatenate(([0], np.flatnonzero((t[1:] != t[:-1]) | (k[1:] != k[:-1])) + 1, [len(t)]))
+            runs = np.stack([edges[:-1], edges[1:]], 1)
+            single = runs[:, 1] - runs[:, 0] < 2
+            single[[0, -1]] = False  # a shard may go on in the next batch
+            for i, j in runs[~single].tolist():
+                now = (int(t[i]), int(k[i]))
+                if now != key:
+                    if held:
+                        for found in shard(key[0], held):
+                            out.append(found)
+                            waiting += len(found[0])
+                            if waiting > 50_000:
+                                yield flush()
+                    key, held = now, []
+                held.append((node[i:j], label[i:j], size[i:j], x[i:j]))
+        if held:
+            for found in shard(key[0], held):
+                out.append(found)
+                waiting += len(found[0])
+                if waiting > 50_000:
+                    yield flush()
+        if out:
+            yield flush()
+
+    placed = nodes.select("node", "label", "size", "fp").mapInArrow(place, "t int, key bigint, node bigint, label bigint, size bigint, fp binary")
+    found = placed.repartition("t", "key").sortWithinPartitions("t", "key").mapInArrow(search, "a bigint, b bigint, d int")
+    if every:
+        return found.select("a", "b")
+    best = found.groupBy("a").agg(F.min(F.struct("d", "b")).alias("near"), F.min("b").alias("first"))
+    return best.select("a", F.explode(F.array_distinct(F.array("near.b", "first"))).alias("b")).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets (``node``, ``shingles``) have at least this Jaccard similarity."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for p, q in zip(batch.column(2), batch.column(3), strict=True):
+                u, v = (np.frombuffer(z.as_buffer(), np.uint64) for z in (p, q))
+                both = len(np.intersect1d(u, v, assume_unique=True))
+                keep.append(both >= similarity * (len(u) + len(v) - both) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    placed = nodes.select("node", "fp").mapInArrow(place, "t int, key bigint, node bigint, fp binary")
-    return placed.repartition("t", "key").sortWithinPartitions("t", "key").mapInArrow(search, "a bigint, b bigint")
+    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("shingles").alias("r")), "b")
+    return met.select("a", "b", "s", "r").mapInArrow(work, "a bigint, b bigint")
+
+
+def _shingle_rows(words: int, prints: bool):
+    """Map (doc_id, text, digest) to rows (doc_id, digest, cls, size, fp), or to (cls, shingles) once each in a slice."""
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingle_set(t.encode(), words) for t in batch.column(1).to_pylist()]
+        names = [xxhash.xxh3_128_digest(h.tobytes()) for h in found]
+        if prints:
+            return pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(names, pa.binary()), pa.array([len(h) for h in found], pa.int64()), pa.array([_wide_print(h) for h in found], pa.binary())],
+                names=["doc_id", "digest", "cls", "size", "fp"])
+        once = {n: h.tobytes() for n, h in zip(names, found, strict=True)}
+        return pa.RecordBatch.from_arrays([pa.array(list(once), pa.binary()), pa.array(list(once.values()), pa.binary())], names=["cls", "shingles"])
+    return work
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id``, ``digest`` (XXH64 of the text), ``group`` and ``component_id`` of every row.
 
     Rows are in one group if links of at least ``similarity`` join them; ``component_id``
-    is the least id of the group.
+    is the least id of the group. Texts with one shingle set are one class, and classes are compared.
     """
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [wide_fingerprint(t.encode(), words) for t in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())], names=["doc_id", "digest", "fp"])
-
     texts = keyed_text(docs, id_col, text_col).withColumn("digest", F.xxhash64("text"))
-    prints = stored(map_arrow(texts, work, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, digest bigint, fp binary"), "simhash-docs")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
-    labels = components(similar_links(nodes, distance_of(similarity), sampled_bits(nodes.count())))
-    named = nodes.join(labels, "node", "left").select("fp", "least", F.coalesce("root", "node").alias("group"))
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    prints = stored(map_arrow(texts, _shingle_rows(words, True), f"doc_id {kind}, digest bigint, cls binary, size bigint, fp binary"), "simhash-docs")
+    nodes = stored(prints.groupBy("cls").agg(
+        F.min("doc_id").alias("least"), F.min("digest").alias("digest"), F.min("size").alias("size"), F.min("fp").alias("fp"),
+    ).withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
+    radius, bits = distance_of(similarity), sampled_bits(nodes.count())
+    # Two rounds link most of each group by few pairs; the last tests all pairs of what is still apart.
+    labels = links = sets = None
+    active = nodes
+    for every in (False, False, True):
+        now = active.withColumn("label", F.col("node")) if labels is None else active.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node"))
+        pairs = stored(similar_candidates(now, radius, bits, similarity, every), "simhash-pairs")
+        if sets is None:
+            ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            active = stored(nodes.join(ends, "node", "left_semi"), "simhash-active")
+            needed = texts.join(active.select("digest").distinct(), "digest", "left_semi").select("doc_id", "text", "digest")
+            shingles = map_arrow(needed, _shingle_rows(words, False), "cls binary, shingles binary").dropDuplicates(["cls"])
+            sets = stored(shingles.join(active.select("cls", "node"), "cls").select("node", "shingles"), "simhash-sets")
+        new = stored(verified(pairs, sets, similarity), "simhash-links")
+        links = new if links is None else links.unionAll(new)
+        labels = components(links)
+    named = nodes.join(labels, "node", "left").select("cls", "least", F.coalesce("root", "node").alias("group"))
     firsts = named.groupBy("group").agg(F.min("least").alias("component_id"))
-    return prints.join(named.join(firsts, "group").select("fp", "group", "component_id"), "fp").select("doc_id", "digest", "group", "component_id")
+    return prints.join(named.join(firsts, "group").select("cls", "group", "component_id"), "cls").select("doc_id", "digest", "group", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
