@@ -1,6 +1,6 @@
 import random
 
-
+import numpy as np
 from tests.llm.helpers import awkward, empty
 from veil.llm import simhash
 from veil.llm.components import components
@@ -163,3 +163,27 @@ def test_groups_are_those_of_exact_similarity(spark):
     assert all(want[got[i]] == want[i] for i in got)  # no link below the similarity
     met = sum(got[i] == got[j] for i, j in links)
     assert met >= 0.9 * len(links)
+
+
+def recall(similarity, shingles, bits, pairs=300):
+    """Share of random pairs of sets that become candidates."""
+    rng = np.random.default_rng(5)
+    radius, found = simhash.radius_of(0.8), 0
+    for _ in range(pairs):
+        both = round(similarity * shingles)
+        x = rng.integers(0, 1 << 64, shingles, np.uint64)
+        own = (shingles - both) // 2
+        sets = x[: both + own], np.concatenate([x[:both], x[both + own :]])
+        a, b = (np.unpackbits(np.frombuffer(simhash._wide_print(s), np.uint8), bitorder="little") for s in sets)
+        apart = a != b
+        found += apart.sum() <= radius and not apart[bits].any(1).all()
+    return found / pairs
+
+
+def test_recall_per_band_of_similarity():
+    small, large = (simhash.sampled_bits(simhash.PER_SHARD << width, simhash.radius_of(0.8)) for width in (8, 20))
+    assert small.shape[1] == 8 and large.shape[1] == 20
+    for bits in (small, large):
+        for similarity in (0.8, 0.82, 0.85, 0.9):
+            for shingles in (60, 200, 600):
+                assert recall(similarity, shingles, bits) >= 0.95

@@ -14,9 +14,9 @@ are still free, until at most 256 members can be left. This loses no link. A
 shard returns a spanning set of its links, never all pairs.
 
 ``similar_groups`` and ``keep_one`` link by similarity instead: five words, and 256 bits, at
-which a Jaccard similarity of 0.8 is a distance of 38. That is beyond any exact blocking, so
-shards are the values of randomly chosen bits, in as many tables as a pair at a distance of
-``USUAL`` of all bits needs to meet with probability ``MEET``; the number of bits grows with
+which a Jaccard similarity of 0.8 is a mean distance of 38; candidates are pairs up to 54, two and a
+half spreads more. That is beyond any exact blocking, so shards are the values of randomly
+chosen bits, in as many tables as a pair at that radius needs to meet with probability ``MEET``; the number of bits grows with
 the logarithm of the fingerprints, so shards keep their size. Prints give candidates only, from
 distinct shingles; a link is a pair whose shingle sets have the similarity, computed exactly.
 Two rounds test the nearest and the least candidate of each class of equal sets; a last one tests
@@ -45,8 +45,9 @@ from veil.llm.components import components
 WORDS, RADIUS, SEED = 3, 2, 42
 #: Words and Jaccard similarity of groups of similar documents, and 64-bit lanes of their prints.
 SIMILAR_WORDS, SIMILARITY, LANES = 5, 0.8, 4
-#: Fingerprints of a shard on average; usual distance of a pair; probability that it meets.
-PER_SHARD, USUAL, MEET = 16, 0.125, 0.97
+#: Fingerprints of a shard on average; probability that a pair at the radius meets; spreads of the
+#: distance between its mean and the radius.
+PER_SHARD, MEET, TAIL = 16, 0.97, 2.5
 #: Members up to which a shard is searched as one tree.
 SHARD = 2048
 BLOCKS = 4
@@ -275,10 +276,16 @@ def distance_of(similarity: float) -> int:
     return int(64 * LANES * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
-def sampled_bits(prints: int) -> np.ndarray:
+def radius_of(similarity: float) -> int:
+    """Differing bits up to which pairs are candidates: ``TAIL`` spreads above the mean distance."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(64 * LANES * share + TAIL * math.sqrt(64 * LANES * share * (1 - share)))
+
+
+def sampled_bits(prints: int, radius: int) -> np.ndarray:
     """Bits (table, place) that the shards of so many fingerprints are made of."""
     width = min(48, max(8, math.ceil(math.log2(max(2, prints / PER_SHARD)))))
-    tables = math.ceil(math.log(1 / (1 - MEET)) / (1 - USUAL) ** width)
+    tables = math.ceil(math.log(1 / (1 - MEET)) / (1 - radius / (64 * LANES)) ** width)
     rng = np.random.default_rng(6)
     return np.stack([rng.choice(64 * LANES, width, replace=False) for _ in range(tables)])
 
@@ -467,7 +474,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     nodes = stored(prints.groupBy("cls").agg(
         F.min("doc_id").alias("least"), F.min("digest").alias("digest"), F.min("size").alias("size"), F.min("fp").alias("fp"),
     ).withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
-    radius, bits = distance_of(similarity), sampled_bits(nodes.count())
+    radius = radius_of(similarity)
+    bits = sampled_bits(nodes.count(), radius)
     # Two rounds link most of each group by few pairs; the last tests all pairs of what is still apart.
     labels = links = sets = None
     active = nodes
