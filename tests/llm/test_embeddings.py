@@ -74,3 +74,12 @@ def test_rotations_keep_lengths():
 
 def test_empty_table(spark):
     assert cp.near_vectors(clashing(spark.createDataFrame([], "vec_id bigint, embedding array<float>"))).count() == 0
+
+
+@pytest.mark.parametrize(("dim", "k"), [(16, 3), (16, 4), (32, 3), (32, 4), (64, 3), (64, 4), (128, 3), (128, 4)])
+def test_recall_stays_as_hashes_grow(dim, k):
+    x, y = cp.pairs_at(0.9, dim, 2000, 77)
+    signs = cp.rotations(dim, cp.tables_for(k, dim) * k)
+    a, b = cp.hash_codes(x, signs, k), cp.hash_codes(y, signs, k)
+    hit = ((a[:, :, :1] == b).any(-1) | (b[:, :, :1] == a).any(-1)).any(1)
+    assert hit.mean() > 0.98

@@ -3,7 +3,7 @@
 Vectors are turned to unit length in double precision and rotated by three rounds of
 random signs and a fast Hadamard transform. The hash is the axis of the largest
 coordinate, with its sign; ``K`` of them are one bucket of a table. A vector lies in its
-own bucket of each of the ``TABLES`` tables and also probes the ``PROBES - 1`` buckets
+own bucket of each of at least ``TABLES`` tables and also probes the ``PROBES - 1`` buckets
 that are next likely: those that swap the least certain axes for their second or third
 choice. Every candidate is verified by its cosine.
 
@@ -13,7 +13,8 @@ them only; a bucket returns link counts and a spanning set of links, never its p
 A bucket above ``BLOCK`` vectors is divided into blocks of its own vectors, and all that
 probe it are held against each block: memory stays bounded and no partner is lost.
 
-``K`` grows with the number of vectors, so that buckets keep their size.
+``K`` grows with the number of vectors, so that buckets keep their size, and the tables with
+``K``, so that a pair at the least cosine meets with probability ``MEET`` at any size.
 
 Results: vectors that are null, empty, zero or hold null or non-finite components link
 with nothing (n_links 0, their own id as component). Vectors of different length never
@@ -23,6 +24,7 @@ against brute force is measured in the tests (over 0.98 at cosine 0.9).
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -35,7 +37,8 @@ from pyspark.sql import functions as F
 from veil.llm.common import stored
 from veil.llm.components import components
 
-TABLES, PROBES = 6, 6
+#: Tables at least, buckets of a vector in each; probability that a pair at the least cosine meets.
+TABLES, PROBES, MEET = 6, 6, 0.985
 #: Vectors a bucket should hold on average at most; sets the number of hashes.
 PER_BUCKET = 16
 #: Own vectors of a bucket that one task holds at once.
@@ -104,8 +107,29 @@ def hashes_for(vectors: int, dim: int) -> int:
     return max(1, min(round(math.log(max(2, vectors / PER_BUCKET), base)), int(62 // math.log2(base))))
 
 
-def _codes(classes: DataFrame, k_of: dict[int, int]) -> DataFrame:
-    """Add ``codes``, all buckets of a class, flattened by table and probe."""
+def pairs_at(least: float, dim: int, count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Random pairs of unit vectors at this cosine."""
+    rng = np.random.default_rng(seed)
+    x, z = unit(rng.normal(size=(count, dim))), rng.normal(size=(count, dim))
+    z -= (z * x).sum(1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    return x, least * x + math.sqrt(max(0.0, 1 - least * least)) * z
+
+
+@functools.cache
+def tables_for(k: int, dim: int, least: float = COSINE) -> int:
+    """Tables in which a pair at ``least`` meets with probability ``MEET``, from 2,000 random pairs."""
+    if dim < 2:
+        return TABLES
+    signs = rotations(dim, TABLES * k)
+    a, b = (hash_codes(x, signs, k) for x in pairs_at(least, dim, 2000, SEED))
+    met = ((a[:, :, :1] == b).any(-1) | (b[:, :, :1] == a).any(-1)).mean()
+    met = min(max(float(met), 1e-3), 1 - 1e-9)
+    return max(TABLES, math.ceil(math.log(1 - MEET) / math.log(1 - met)))
+
+
+def _codes(classes: DataFrame, k_of: dict[int, int], tables_of: dict[int, int]) -> DataFrame:
+    """Add ``codes``, all buckets of a class, flattened by table and probe, and the number of ``tables``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
@@ -117,13 +141,15 @@ def _codes(classes: DataFrame, k_of: dict[int, int]) -> DataFrame:
                     rows = np.flatnonzero(sizes == dim)
                     x = unit(values[(ends[rows][:, None] + np.arange(dim)).ravel()].reshape(len(rows), dim).astype(float))
                     k = k_of[int(dim)]
-                    got = hash_codes(x, rotations(int(dim), TABLES * k), k).reshape(len(rows), -1)
+                    got = hash_codes(x, rotations(int(dim), tables_of[int(dim)] * k), k).reshape(len(rows), -1)
                     for r, c in zip(rows, got, strict=True):
                         codes[r] = c
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(codes, pa.list_(pa.int64()))], names=[*part.schema.names, "codes"])
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(codes, pa.list_(pa.int64())), pa.array([tables_of[int(d)] for d in sizes], pa.int32())],
+                    names=[*part.schema.names, "codes", "tables"])
 
     kind = classes.schema["v"].dataType.simpleString()
-    return classes.mapInArrow(run, f"c bigint, n bigint, v {kind}, codes array<bigint>")
+    return classes.mapInArrow(run, f"c bigint, n bigint, v {kind}, codes array<bigint>, tables int")
 
 
 #: ids, weights, unit vectors and codes of some rows.
@@ -192,11 +218,12 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False), offsets - offsets[0]
 
 
-def _links(coded: DataFrame, least: float, block: int) -> DataFrame:
+def _links(coded: DataFrame, tables_of: dict[int, int], least: float, block: int) -> DataFrame:
     """(a, null, n): n links of class a; (a, b, 0): one link of a spanning set."""
     kind = coded.schema["v"].dataType.simpleString()
+    probes = (F.size("codes") / F.col("tables")).cast("int")
     probe = coded.select("c", "n", "v", "codes", F.size("v").alias("dim"), F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(TABLES - 1)), lambda t: F.array_distinct(F.slice("codes", t * (F.size("codes") / TABLES).cast("int") + 1, (F.size("codes") / TABLES).cast("int")))
+        F.sequence(F.lit(0), F.col("tables") - 1), lambda t: F.array_distinct(F.slice("codes", t * probes + 1, probes))
     )).alias("t", "buckets"))
     crowded = stored(
         probe.groupBy("dim", "t", F.element_at("buckets", 1).alias("bucket")).agg(F.count("*").alias("own"))
@@ -230,7 +257,7 @@ def _links(coded: DataFrame, least: float, block: int) -> DataFrame:
                 if role and not bucket.parts:
                     continue
                 x = unit(values[ends[i] : ends[j]].reshape(j - i, -1).astype(float))
-                rows = (ids[i:j], weight[i:j], x, codes[code_ends[i] : code_ends[j]].reshape(j - i, TABLES, -1))
+                rows = (ids[i:j], weight[i:j], x, codes[code_ends[i] : code_ends[j]].reshape(j - i, tables_of[now[1]], -1))
                 if role:
                     bucket.meet(rows, out)
                 else:
@@ -266,7 +293,8 @@ def near_vectors(
         .withColumn("c", F.monotonically_increasing_id()), "vector-classes")
     sizes = {r["dim"]: r["n"] for r in classes.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).collect()}
     k_of = {dim: hashes_for(n, dim) for dim, n in sizes.items()}
-    found = stored(_links(_codes(classes.select("c", "n", "v"), k_of), least, block), "vector-links")
+    tables_of = {dim: tables_for(k, dim, least) for dim, k in k_of.items()}
+    found = stored(_links(_codes(classes.select("c", "n", "v"), k_of, tables_of), tables_of, least, block), "vector-links")
     counts = found.where("b is null").groupBy(F.col("a").alias("c")).agg(F.sum("n").alias("others"))
     roots = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "c")
     named = classes.select("c", "v", "n", "least_id").join(counts, "c", "left").join(roots, "c", "left").select(
