@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veil.llm import bpe, crosspolytope, exact, hosttrust, lines, packing, pii, quality, simhash, warczip
+from veil.llm import bpe, crosspolytope, exact, hosttrust, lines, merkle, oracles, packing, pii, quality, simhash, toxic, variants, warczip
 from veil.sources.tables import read_table
 
 #: Rules of the URL filter: verdict and host with path.
@@ -71,6 +71,22 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxic.fit(docs, read_table(spark, sf_dir, "labels"))
+    return toxic.score_documents(docs, model).select("doc_id", toxic.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = variants.spelling_variants(read_table(spark, sf_dir, "documents"), garble=True)
+    return found.select("word", "n", "n_near", "form", "form_n", "root")
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = merkle.manifest(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     "op1_exact": op1_exact,
     "op2_pii": op2_pii,
@@ -82,6 +98,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_embeddings": op9_embeddings,
     "op10_lines": op10_lines,
+    "op11_toxic": op11_toxic,
+    "op12_variants": op12_variants,
+    "op13_merkle": op13_merkle,
 }
 ORACLES: dict[str, str] = {
     "op1_exact": """
@@ -92,6 +111,8 @@ ORACLES: dict[str, str] = {
                sha256(text) AS text_sha256
         FROM t""",
     "op4_urls": hosttrust.oracle_sql(URL_RULES),
+    "op12_variants": oracles.VARIANTS,
+    "op13_merkle": oracles.MERKLE,
     "op9_embeddings": """
         WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
         sound AS (
