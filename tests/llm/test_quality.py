@@ -64,3 +64,18 @@ def test_awkward_rows(spark):
     assert quality.score_documents(empty(spark), model).count() == 0
     assert quality.keep_documents(empty(spark), model).count() == 0
     assert not spark.range(1).select(quality.held_out(F.lit(None).cast("bigint")).alias("x")).first().x
+
+
+def test_what_training_gathers_is_bounded_in_bytes(spark, monkeypatch):
+    """An id on a third of the rows is one training row, and a text of any length gives so many units."""
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda rows: seen.append(rows))
+    docs = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 2).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") == 7, F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(60_000)), lambda k: F.sha2(k.cast("string"), 256))))
+        .otherwise(F.concat(F.lit("t"), "id")).alias("text"))
+    labels = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    quality.fit(docs, labels.where("doc_id IN (2, 7)"))
+    assert len(seen[0]) == 2
+    assert max(len(ids) for _, ids, _ in seen[0]) == quality.TRAIN_UNITS
+    assert all(abs(weight.sum() - 2) < 1e-3 for _, ids, weight in seen[0] if len(ids) == quality.TRAIN_UNITS)

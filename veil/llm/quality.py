@@ -7,8 +7,11 @@ reference, whatever the word. All units are hashed into ``BUCKETS`` rows. A soft
 the document vector gives the classes; vectors and softmax are trained together by
 stochastic gradient descent in numpy.
 
-Training takes at most ``TRAIN_ROWS`` labelled rows, picked by the hash of their ids;
-their hashed units, not their texts, come to the driver. A trained model is linear in
+Training takes at most ``TRAIN_ROWS`` labelled rows, one for each picked id and label
+(ids by their hash; of rows with one id the text of the least hash). Their hashed units,
+not their texts, come to the driver, and of a row no more than ``TRAIN_UNITS``: a
+text with more gives a sample of them, another one for each text. So training holds at most
+``8 * TRAIN_ROWS * TRAIN_UNITS`` bytes (25 MB) whatever the texts or repeated ids. A trained model is linear in
 the units, so what the tasks need is one number per bucket (``4 * BUCKETS`` bytes) and a
 bias: every document is scored over its whole text.
 
@@ -33,6 +36,8 @@ BUCKETS, DIMENSIONS = 1 << 18, 16
 NGRAMS = (3, 4, 5)
 #: Most labelled rows that training looks at.
 TRAIN_ROWS = 3000
+#: Most units of one training row.
+TRAIN_UNITS = 1024
 EPOCHS, RATE = 12, 0.6
 KEEP_FROM = 0.3
 #: Bytes of text analysed at once: n-grams take some hundred bytes for each.
@@ -138,7 +143,12 @@ def hashed_units(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         ids = np.concatenate((u.units[ragged(at[code], u.sizes[code])], u.bigrams[p : p + m]))
         weight = np.concatenate((np.repeat(1 / np.maximum(u.sizes[code], 1) / max(n, 1), u.sizes[code]), np.full(m, 1 / max(m, 1))))
         ids, inverse = np.unique(ids, return_inverse=True)
-        out.append((ids.astype(np.int32), np.bincount(inverse, weights=weight, minlength=len(ids)).astype(np.float32)))
+        weight = np.bincount(inverse, weights=weight, minlength=len(ids))
+        if len(ids) > TRAIN_UNITS:
+            own = np.uint64(n) * _A + ids.sum().astype(np.uint64)
+            part = np.sort(np.argpartition(_mixed(ids.astype(np.uint64) * _A + own), TRAIN_UNITS)[:TRAIN_UNITS])
+            ids, weight = ids[part], weight[part] * (weight.sum() / weight[part].sum())
+        out.append((ids.astype(np.int32), weight.astype(np.float32)))
         w, p = w + n, p + m
     return out
 
@@ -190,10 +200,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
         sizes = np.array([len(ids) for ids, _ in found])
         ids = np.concatenate([ids for ids, _ in found])
         weight = np.concatenate([w for _, w in found])
-        return pa.RecordBatch.from_arrays([batch.column(2), joined(ids, sizes), joined(weight, sizes)], names=["label", "ids", "weight"])
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), batch.column(3), joined(ids, sizes), joined(weight, sizes)], names=["doc_id", "label", "key", "ids", "weight"])
 
-    texts = keyed_text(docs, id_col, text_col).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "label")
-    got = map_arrow(texts, work, "label int, ids binary, weight binary", SLICE).toArrow()
+    texts = keyed_text(docs, id_col, text_col).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "label", F.xxhash64("text").alias("key"))
+    units = map_arrow(texts, work, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, label int, key bigint, ids binary, weight binary", SLICE)
+    got = units.groupBy("doc_id", "label").agg(F.min(F.struct("key", "ids", "weight")).alias("u")).select("label", "u.ids", "u.weight").toArrow()
     rows_ = []
     for batch in got.to_batches():  # views of what arrived, not copies
         label, ids, weight = (batch.column(c) for c in ("label", "ids", "weight"))
