@@ -95,3 +95,21 @@ def test_tables(spark):
     none = pii.fit(empty(spark))
     assert none is None and pii.find_spans(empty(spark), none).count() == 0
     assert [s.kind for s in pii.find_spans(docs, None).where("doc_id = 41").first().base] == ["ip", "email"]
+
+
+def test_training_takes_bounded_runs(spark, monkeypatch):
+    """One text of half a million runs and an id on a third of the rows do not come to the driver whole."""
+    from pyspark.sql import functions as F
+
+    seen = []
+    monkeypatch.setattr(pii, "train", lambda runs: seen.append(runs))
+    docs = spark.range(90).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") == 4, F.array_join(F.transform(F.sequence(F.lit(1), F.lit(500_000)), lambda k: F.concat(k.cast("string"), F.lit(" and"))), " "))
+        .when(F.col("id") == 5, F.repeat(F.lit("12 "), 10_000)).when(F.col("id") == 7, F.repeat(F.lit("1"), 5000))
+        .otherwise(F.concat(F.lit("call +49 30 1234567 or a@b.org now "), "id")).alias("text"))
+    pii.fit(docs)
+    runs = [r for r, _ in seen[0]]
+    assert len(runs) == pii.TRAIN_RUNS
+    assert max(len(r.words) for r in runs) <= pii.TRAIN_WORDS
+    assert max(len(w) for r in runs for w in r.words) <= pii.TRAIN_LENGTH

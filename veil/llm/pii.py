@@ -34,7 +34,8 @@ LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 #: Rows, picked by the hash of their ids, whose labels train the field.
 TRAIN_ROWS = 20_000
 ROUNDS, RATE, PENALTY = 120, 0.5, 0.02
-LONGEST_TAUGHT = 48
+#: Most distinct runs, words of a run and characters of a word that training takes.
+TRAIN_RUNS, TRAIN_WORDS, TRAIN_LENGTH = 5000, 48, 256
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -312,7 +313,6 @@ def field_spans(run: Run, labels: np.ndarray) -> Iterator[tuple[str, int, int]]:
 
 def train(runs: list[tuple[Run, list[int]]]) -> Field | None:
     """A field from labelled runs; None without any label to learn."""
-    runs = [(Run(0, r.words[:LONGEST_TAUGHT], r.starts[:LONGEST_TAUGHT], r.before, r.after if len(r.words) <= LONGEST_TAUGHT else r.words[LONGEST_TAUGHT]), y[:LONGEST_TAUGHT]) for r, y in runs]
     if not any(any(y) for _, y in runs):
         return None
     known: dict[str, int] = {}
@@ -326,8 +326,13 @@ def train(runs: list[tuple[Run, list[int]]]) -> Field | None:
     return field
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS) -> Field | None:
-    """Train on the runs of at most ``rows`` rows, labelled by the rules."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS, runs: int = TRAIN_RUNS) -> Field | None:
+    """Train on at most ``runs`` distinct runs of the texts of ``rows`` ids, labelled by the rules.
+
+    For training a run is cut every ``TRAIN_WORDS`` words, and runs with a word of more than
+    ``TRAIN_LENGTH`` characters are left out, so what comes to the driver is bounded whatever
+    the texts or repeated ids.
+    """
     texts = keyed_text(docs, id_col, text_col)
     picked = texts.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
@@ -339,17 +344,34 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: i
                 for run in runs_of(part.column(1)):
                     if run.doc not in spans:
                         spans[run.doc] = rule_spans(part.column(1)[run.doc].as_py())
-                    rows_.append({"words": run.words, "starts": run.starts, "before": run.before, "after": run.after, "labels": taught_labels(run, spans[run.doc])})
+                    rows_ += [
+                        {"words": piece.words, "starts": piece.starts, "before": piece.before, "after": piece.after, "labels": taught_labels(piece, spans[run.doc])}
+                        for piece in _pieces(run) if max(map(len, (piece.before, piece.after, *piece.words))) <= TRAIN_LENGTH]
+                    if len(rows_) >= 1000:
+                        yield pa.RecordBatch.from_pylist(rows_, schema=kind)
+                        rows_ = []
                 if rows_:
                     yield pa.RecordBatch.from_pylist(rows_, schema=kind)
 
     kind = pa.schema([("words", pa.list_(pa.string())), ("starts", pa.list_(pa.int64())), ("before", pa.string()), ("after", pa.string()), ("labels", pa.list_(pa.int64()))])
-    got = texts.join(F.broadcast(picked), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
-        work, "words array<string>, starts array<bigint>, before string, after string, labels array<bigint>").dropDuplicates(["words", "before", "after"]).toArrow().to_pylist()
+    # Of equal runs the first by place and labels stands for all, so that training is repeatable.
+    found = texts.join(F.broadcast(picked), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
+        work, "words array<string>, starts array<bigint>, before string, after string, labels array<bigint>")
+    distinct = found.groupBy("words", "before", "after").agg(F.min(F.struct("starts", "labels")).alias("first"))
+    got = distinct.select("words", "first.starts", "before", "after", "first.labels").orderBy(
+        F.xxhash64("words", "before", "after"), "words", "before", "after").limit(runs).toArrow().to_pylist()
     got.sort(key=lambda r: (r["words"], r["before"], r["after"]))
     return train([(Run(0, r["words"], r["starts"], r["before"], r["after"]), r["labels"]) for r in got])
 
 
+def _pieces(run: Run) -> Iterator[Run]:
+    """The run in pieces of at most ``TRAIN_WORDS`` words."""
+    words = run.words
+    for a in range(0, len(words), TRAIN_WORDS):
+        b = min(a + TRAIN_WORDS, len(words))
+        yield Run(run.doc, words[a:b], run.starts[a:b], words[a - 1] if a else run.before, words[b] if b < len(words) else run.after)
+
+
 def spans_of(texts: pa.Array, field: Field | None) -> list[tuple[list, list]]:
     """Of every text the spans of the rules, and all spans."""
     runs = runs_of(texts)
