@@ -44,7 +44,7 @@ def test_several_members_ranges_and_packages(spark, monkeypatch, tmp_path):
     for k in range(40):
         payload = hashlib.sha256(str(k).encode()).hexdigest().encode() * 4
         package.add(warczip.record(k, f"http://h/{k}", payload, hashlib.sha256(payload).hexdigest(), None, False))
-    path, records = package.close()
+    path, records, _ = package.close()
     assert records == 40 and package.members > 3
     ranges = list(warczip.ranges_of(path))
     assert sum(len(sizes) for _, _, sizes in ranges) == 40 and len(ranges) > package.members
@@ -99,3 +99,16 @@ def test_a_changed_payload_is_noticed():
     assert warczip.parse_record(data)["payload"] == payload
     with pytest.raises(ValueError):
         warczip.parse_record(data.replace(b"xxxx", b"yyyy", 1))
+
+
+def test_ranges_are_read_by_many_tasks(spark, tmp_path):
+    """Adaptive execution does not merge the few rows that stand for megabytes."""
+    pages = spark.range(2000).selectExpr("id AS page_id", "concat('http://a/', id) AS url", "repeat(sha2(cast(id AS string), 512), 200) AS html").repartition(12)
+    packages = warczip.write_packages(pages, str(tmp_path))
+    assert packages.agg({"bytes": "sum"}).first()[0] > 0
+    read = warczip.read_packages(packages, tasks=6)
+    read.write.parquet(str(tmp_path / "out"))
+    from pyspark.sql import functions as F
+
+    used = warczip.read_packages(packages, tasks=6).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used > 3 and spark.read.parquet(str(tmp_path / "out")).count() == 2000

@@ -42,6 +42,8 @@ from veil.llm.common import shared_folder, stored
 
 REVISIT_FROM = 100
 MEMBER_BYTES, PACKAGE_BYTES, RANGE_BYTES = 8 << 20, 1 << 30, 4 << 20
+#: Bytes of packages that a reading task is meant to have.
+TASK_BYTES = 32 << 20
 DATE = "1970-01-01T00:00:00Z"
 INDEX = "indexes/index.cdxj"
 #: Fixed values of the formats.
@@ -128,16 +130,16 @@ class _Package:
             self.members += 1
             self.buffer = io.BytesIO()
 
-    def close(self) -> tuple[str, int]:
+    def close(self) -> tuple[str, int, int]:
         self.end_member()
         self.zip.writestr(INDEX, "\n".join(self.index))
         self.zip.close()
         self.sink.close()
-        return self.path, len(self.index)
+        return self.path, len(self.index), self.size
 
 
 def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Write all rows to packages below ``folder``; returns (path, records) of each package."""
+    """Write all rows to packages below ``folder``; returns (path, records, bytes) of each package."""
     rows = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.encode(F.coalesce(F.col(html_col), F.lit("")), "utf-8").alias("payload")
     ).withColumn("digest", F.sha2("payload", 256))
@@ -162,9 +164,10 @@ def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         if package:
             done.append(package.close())
         if done:
-            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in done]), pa.array([n for _, n in done], pa.int64())], names=["path", "records"])
+            paths, records, sizes = zip(*done, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(records, pa.int64()), pa.array(sizes, pa.int64())], names=["path", "records", "bytes"])
 
-    return stored(told.mapInArrow(run, "path string, records bigint"), "warc-packages")
+    return stored(told.mapInArrow(run, "path string, records bigint, bytes bigint"), "warc-packages")
 
 
 def read_directory(source: pa.NativeFile) -> list[tuple[str, int, int, int]]:
@@ -248,8 +251,17 @@ def ranges_of(path: str) -> Iterator[tuple[int, int, list[int]]]:
         yield start, length, sizes
 
 
-def read_packages(packages: DataFrame, path_col: str = "path") -> DataFrame:
-    """The records of all packages: page_id, url, record_type, payload_bytes, payload_digest, refers_to (ids as strings), payload."""
+def read_packages(packages: DataFrame, path_col: str = "path", tasks: int | None = None) -> DataFrame:
+    """The records of all packages: page_id, url, record_type, payload_bytes, payload_digest, refers_to (ids as strings), payload.
+
+    Rows of ranges are tiny and stand for megabytes each, so they are dealt to a stated number of
+    tasks, which adaptive execution does not merge: ``tasks``, or one for every
+    ``TASK_BYTES`` of the packages (column ``bytes``; 1 GB each without it) and one per core at least.
+    """
+    if tasks is None:
+        size = F.sum("bytes") if "bytes" in packages.columns else F.count("*") * PACKAGE_BYTES
+        total = packages.agg(size).first()[0] or 0
+        tasks = max(packages.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
@@ -280,8 +292,8 @@ def read_packages(packages: DataFrame, path_col: str = "path") -> DataFrame:
                 if records:
                     yield pa.RecordBatch.from_pylist(records, schema=kind)
 
-    places = packages.select(path_col).repartition(path_col).mapInArrow(locate, "path string, start bigint, length bigint, sizes array<bigint>")
-    return places.repartition("path", "start").mapInArrow(
+    places = packages.select(path_col).repartition(tasks, path_col).mapInArrow(locate, "path string, start bigint, length bigint, sizes array<bigint>")
+    return places.repartition(tasks, "path", "start").mapInArrow(
         fetch, "page_id string, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to string, payload binary")
 
 
