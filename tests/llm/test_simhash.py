@@ -187,3 +187,36 @@ def test_recall_per_band_of_similarity():
         for similarity in (0.8, 0.82, 0.85, 0.9):
             for shingles in (60, 200, 600):
                 assert recall(similarity, shingles, bits) >= 0.95
+
+
+def test_the_last_shards_leave_eight_bits_free(spark):
+    """Each level halves the free bits, so a shard of the last one has at most 256 prints."""
+    points = spark.range(300).selectExpr("id * 7919 AS fp", "-1L AS free")
+    for level, left in enumerate((32, 16, 8)):
+        shards = simhash._shards(points, level)
+        assert {bin(r.free % 2**64).count("1") for r in shards.select("free").distinct().collect()} == {left}
+        points = shards.select("fp", "free").distinct().limit(2000)
+
+
+def test_crowded_shards_at_all_levels_lose_no_link(spark):
+    """Prints that differ in their last bits only go through all levels."""
+    import random
+
+    rng = random.Random(6)
+    values = {rng.randrange(1 << 11) | (rng.randrange(4) << 60) for _ in range(700)}
+    values = [v - (1 << 64) if v >> 63 else v for v in values]
+    links = [(r.a, r.b) for r in simhash.near_links(spark.createDataFrame([(v,) for v in values], "fp bigint"), shard=4).collect()]
+    near = lambda a, b: bin((a ^ b) % 2**64).count("1") <= 2
+    assert all(near(a, b) for a, b in links)
+
+    def groups(pairs):
+        root = {v: v for v in values}
+        def find(v):
+            while root[v] != v:
+                v = root[v]
+            return v
+        for a, b in pairs:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+        return {v: find(v) for v in values}
+
+    assert groups(links) == groups((a, b) for a in values for b in values if a < b and near(a, b))

@@ -171,7 +171,7 @@ def _shards(points: DataFrame, level: int) -> DataFrame:
 
     ``points`` has ``fp`` and ``free``, the 64-bit mask of bits that may still differ.
     """
-    width = 16 >> (2 * level)
+    width = 16 >> level  # of 64, 32 and 16 free bits; 32, 16 and 8 stay free
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         fp = batch.column(0).to_numpy().view(np.uint64)
