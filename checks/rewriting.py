@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from checks import inputs as I
 from checks import sqltext as S
+from veil.functions.jsontext import encoded, is_json
 from veil.operators import detect as D
 from veil.operators import rewrite as W
+from veil.operators.pairs import in_order
 from veil.plans.mask import mask_sessions
 from veil.schema import KIND_ARCHITECTURE, KIND_CHAT, KIND_INTERACTION, KIND_TIMING, KIND_TOOL_REFS
 from veil.sources import envelopes as E
@@ -105,6 +107,32 @@ def mask_tool_args(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c.id").alias("id"))
 
 
+def mask_spellings(spark: SparkSession, sf: str) -> DataFrame:
+    """Sentences in JSON arguments of five spellings, masked and read back: each as the plain sentence."""
+    texts = I.identifiers(spark, sf)
+    pairs = D.detect(texts).where((F.col("value") != "") & (F.col("value") != F.col("replacement"))).groupBy("session_id").agg(
+        in_order(F.collect_list(F.struct("value", "replacement"))).alias("pairs"))
+    raw, one = encoded(F.col("text")), lambda inner: F.concat(F.lit('{"q":"'), inner, F.lit('"}'))
+    units = F.transform(F.split("text", ""), lambda c: F.concat(F.lit("\\u"), F.hex(F.encode(c, "UTF-16BE"))))
+    spelled = {
+        "slashes": one(F.replace(raw, F.lit("/"), F.lit("\\/"))),
+        "units": one(F.array_join(units, "")),
+        "beside": one(F.concat(F.lit("C:\\\\users "), F.replace(raw, F.lit("a"), F.lit("\\u0061")))),
+        "quoted": one(F.concat(F.lit("say \\u0022"), raw, F.lit("\\u0022"))),
+        "nested": F.to_json(F.struct(one(raw).alias("q"))),
+    }
+    kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("spelling"), a.alias("arguments")) for k, a in spelled.items())))
+    done = texts.join(pairs, "session_id", "left").select("session_id", "turn", "pairs", kinds.alias("s")).select(
+        "session_id", "turn", "s.spelling",
+        W.mask_arguments(F.col("s.arguments"), F.coalesce("pairs", F.array().cast("array<struct<value string, replacement string>>"))).alias("masked"))
+    said = F.get_json_object("masked", "$.q")
+    return done.select(
+        "session_id", "turn", "spelling", is_json(F.col("masked")).alias("valid"),
+        F.when(F.col("spelling") == "nested", F.get_json_object(said, "$.q"))
+        .when(F.col("spelling") == "beside", F.regexp_replace(said, r"^C:\\users ", ""))
+        .when(F.col("spelling") == "quoted", F.regexp_replace(said, '^say "|"$', "")).otherwise(said).alias("said"))
+
+
 def passthrough(spark: SparkSession, sf: str) -> DataFrame:
     rows = masked_entries(spark, sf).where(
         F.col("e.kind").isin(KIND_ARCHITECTURE, KIND_TOOL_REFS, KIND_TIMING))
@@ -165,6 +193,7 @@ QUERIES = {
     "mask_chat": lambda spark, sf: _of_kind(
         KIND_CHAT, role=F.col(f"{_CHAT}.role"), content=F.col(f"{_CHAT}.content"))(spark, sf),
     "mask_tool_args": mask_tool_args,
+    "mask_spellings": mask_spellings,
     "mask_history": lambda spark, sf: _of_kind(
         KIND_INTERACTION,
         content=F.get(F.col(f"{_GPT}.request.chat_history"), F.lit(0))["content"],
@@ -202,6 +231,11 @@ _TURNS_MASKED = (
     "coalesce(len(list_filter(p, lambda x: contains(text, x.v))), 0) AS n_pairs "
     "FROM corpus LEFT JOIN pairs USING (session_id)"
 )
+_SPELLINGS_MASKED = (
+    f"WITH {I.IDENTIFIERS},\n{S.found('identifiers')},\npairs AS ({S.ordered_pairs()})\n"
+    f"SELECT session_id, turn, unnest(['slashes', 'units', 'beside', 'quoted', 'nested']) AS spelling, true AS valid, {S.applied('text')} AS said "
+    "FROM identifiers LEFT JOIN pairs USING (session_id)"
+)
 # Messages with what became of them; ``said`` only for saved logs.
 MESSAGES = (
     f"{_MASKED},\nsaids AS (SELECT session_id, part, string_agg({S.applied('text')}, chr(10) ORDER BY turn) AS said "
@@ -239,6 +273,7 @@ ORACLES = {
     "mask_tool_args": _masked_rows(
         f"{S.applied(_ARGS)} AS arguments, json_valid({S.applied(_ARGS)}) AS args_valid_json, "
         "concat('call_', turn) AS id", "slot = 4 AND turn % 3 = 2"),
+    "mask_spellings": _SPELLINGS_MASKED,
     "mask_history": _masked_rows(f"{S.applied('text')} AS content, {_ARGS} AS arguments", "slot = 3"),
     "mask_response": _masked_rows(
         f"{S.applied('text')} AS content, {S.applied(_ARGS)} AS arguments, 'agent' AS agent", "slot = 3"),

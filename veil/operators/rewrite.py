@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veil.functions.jsontext import is_json, let, rewritten, spelled_out
 from veil.functions.pin import pinned
 from veil.operators.pairs import in_order
 from veil.schema import KIND_CHAT, KIND_INTERACTION
@@ -31,35 +32,13 @@ def _replace_all(text: Column, pairs: Column) -> Column:
     )
 
 
-# Escapes of one or two UTF-16 units in JSON text, but for control characters, quote and backslash.
-ESCAPED = r"(\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}|\\u(?!00[01]|0022|005[cC]|[dD][89a-fA-F])[0-9a-fA-F]{4})"
-
-
-def spelled_out(text: Column) -> Column:
-    """JSON text with escaped characters written as themselves: the same value.
-
-    Text with an escaped backslash before a ``u`` stays as it is.
-    """
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(ESCAPED), F.lit(1)))
-    plain = F.aggregate(found, text, lambda t, e: F.replace(
-        t, e, F.decode(F.unhex(F.replace(e, F.lit("\\u"), F.lit(""))), "UTF-16BE")))
-    return F.when(F.contains(text, F.lit("\\u")) & ~F.contains(text, F.lit("\\\\u")), plain).otherwise(text)
-
-
-def in_json(text: Column) -> Column:
-    """A value as it stands inside a JSON string."""
-    return F.regexp_replace(F.to_json(F.array(text)), r'^\["|"\]$', "")
-
-
 def mask_arguments(text: Column, pairs: Column) -> Column:
-    """Rewrite arguments, which are JSON text: values are looked for as JSON writes them.
+    """Rewrite arguments, which are JSON text: values are looked for in what its strings say.
 
     What is no JSON is rewritten as plain text.
     """
-    inside = F.transform(pairs, lambda p: F.struct(
-        in_json(p["value"]).alias("value"), in_json(p["replacement"]).alias("replacement")))
-    is_json = F.try_parse_json(text).isNotNull()
-    return F.when(is_json, apply_pairs(spelled_out(text), inside)).otherwise(apply_pairs(text, pairs))
+    changed = rewritten(text, lambda t: apply_pairs(t, pairs))
+    return F.when(is_json(text), changed).otherwise(apply_pairs(text, pairs))
 
 
 def mask_tool_calls(calls: Column, pairs: Column) -> Column:
@@ -124,7 +103,7 @@ def log_texts(log: Column, scope: str = "all") -> Column:
 
     ``all`` takes the content of every chat message and interaction and the
     tool-call arguments, ``messages`` the content of chat messages only.
-    Arguments are JSON text, so their escaped breaks and quotes are undone first.
+    Arguments are JSON text, so their strings are read as what they say.
     """
     chat, chat_gpt = KIND_CHAT, KIND_INTERACTION
 
@@ -132,12 +111,8 @@ def log_texts(log: Column, scope: str = "all") -> Column:
         return F.array(e[chat]["content"])
 
     def arguments(message: Column) -> Column:
-        return F.transform(message["tool_calls"], lambda c: plain(spelled_out(c["function"]["arguments"])))
-
-    def plain(text: Column) -> Column:
-        for escaped, char in (("\\n", "\n"), ("\\t", "\t"), ('\\"', '"')):
-            text = F.replace(text, F.lit(escaped), F.lit(char))
-        return text
+        return F.transform(message["tool_calls"], lambda c: let(
+            c["function"]["arguments"], lambda a: F.when(is_json(a), spelled_out(a)).otherwise(a)))
 
     def everything(e: Column) -> Column:
         inner = e[chat_gpt]["chat_gpt"]
