@@ -11,6 +11,7 @@ from veil.functions.jsontext import encoded, is_json
 from veil.operators import detect as D
 from veil.operators import rewrite as W
 from veil.operators.pairs import in_order
+from veil.plans.large import mask_large
 from veil.plans.mask import mask_sessions
 from veil.schema import KIND_ARCHITECTURE, KIND_CHAT, KIND_INTERACTION, KIND_TIMING, KIND_TOOL_REFS
 from veil.sources import envelopes as E
@@ -107,6 +108,13 @@ def mask_tool_args(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c.id").alias("id"))
 
 
+def mask_large_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """Every log cut into entries and masked in the long form: chat messages as on the way of small logs."""
+    rows = mask_large(I.envelopes(spark, sf)).where(F.col("kind") == KIND_CHAT)
+    message = F.from_json("entry", "role STRING, content STRING")
+    return rows.select("session_name", "pos", message["role"].alias("role"), message["content"].alias("content"))
+
+
 def mask_spellings(spark: SparkSession, sf: str) -> DataFrame:
     """Sentences in JSON arguments of five spellings, masked and read back: each as the plain sentence."""
     texts = I.identifiers(spark, sf)
@@ -194,6 +202,7 @@ QUERIES = {
         KIND_CHAT, role=F.col(f"{_CHAT}.role"), content=F.col(f"{_CHAT}.content"))(spark, sf),
     "mask_tool_args": mask_tool_args,
     "mask_spellings": mask_spellings,
+    "mask_large_logs": mask_large_logs,
     "mask_history": lambda spark, sf: _of_kind(
         KIND_INTERACTION,
         content=F.get(F.col(f"{_GPT}.request.chat_history"), F.lit(0))["content"],
@@ -274,6 +283,7 @@ ORACLES = {
         f"{S.applied(_ARGS)} AS arguments, json_valid({S.applied(_ARGS)}) AS args_valid_json, "
         "concat('call_', turn) AS id", "slot = 4 AND turn % 3 = 2"),
     "mask_spellings": _SPELLINGS_MASKED,
+    "mask_large_logs": _masked_rows(f"role, {S.applied('text')} AS content", "slot = 4"),
     "mask_history": _masked_rows(f"{S.applied('text')} AS content, {_ARGS} AS arguments", "slot = 3"),
     "mask_response": _masked_rows(
         f"{S.applied('text')} AS content, {S.applied(_ARGS)} AS arguments, 'agent' AS agent", "slot = 3"),

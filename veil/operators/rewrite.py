@@ -161,6 +161,18 @@ def mask_turns(
 
     ``pairs`` has one row per ``(session_id, value)``. Result: the columns of
     ``turns`` with ``masked_text`` and ``n_pairs`` (pairs that occur in it).
+    """
+    return with_present_pairs(turns, pairs, max_pairs).select(
+        *turns.columns,
+        _replace_all(F.col("text"), F.col("pairs")).alias("masked_text"),
+        F.size("pairs").cast("bigint").alias("n_pairs"),
+    )
+
+
+def with_present_pairs(
+    turns: DataFrame, pairs: DataFrame, max_pairs: int = MAX_PAIRS_IN_ROW
+) -> DataFrame:
+    """Add to every turn the ``pairs`` of its session that occur in its ``text``, in order.
 
     Turns and pairs meet on ``(session_id, block)``, a block being
     :data:`BLOCK` consecutive turns, so the texts are shuffled once and a session
@@ -191,11 +203,7 @@ def mask_turns(
     none = F.array().cast("array<struct<value string, replacement string>>")
     joined = turns.withColumn("block", _block()).join(by_block, ["session_id", "block"], "left")
     present = F.filter(F.coalesce("pairs", none), lambda p: F.contains(F.col("text"), p["value"]))
-    return pinned(joined, pairs=present).select(
-        *turns.columns,
-        _replace_all(F.col("text"), F.col("pairs")).alias("masked_text"),
-        F.size("pairs").cast("bigint").alias("n_pairs"),
-    )
+    return pinned(joined, pairs=present).select(*turns.columns, "pairs")
 
 
 def _pairs_of_blocks(

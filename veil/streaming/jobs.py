@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from veil.operators import model as model_ops
+from veil.plans.large import mask_large
 from veil.plans.mask import askable, mask_answered, mask_sessions, with_transcripts
 from veil.plans.outcome import latest, quarantine, too_large
 from veil.schema import ENVELOPE
 from veil.sources.envelopes import with_delivery_key
 
 PENDING = f"{ENVELOPE}, attempts INT"
+LARGE = f"{ENVELOPE}, session_name STRING"
 MEMO = "text_key STRING, text STRING, response STRING, responded_at TIMESTAMP"
 # How long a delivery is remembered; bounds the state of the stream.
 REMEMBER = "1 day"
@@ -106,6 +108,9 @@ def run_batch(
         )
         write_batch(quarantine(done), folders.quarantine, batch_id)
         write_batch(too_large(done), folders.too_large, batch_id)
+        large = spark.read.schema(LARGE).parquet(f"{folders.too_large}/batch_id={batch_id}")
+        if not large.isEmpty():  # else no pass for logs that are not there
+            write_batch(mask_large(large), folders.large_sessions, batch_id)
         write_batch(
             done.select("seq", "session_name", "disposition", "saved", "retry", "pair_status",
                         "published", F.current_timestamp().alias("finished"), "attempts"),
