@@ -75,6 +75,11 @@ def _call(detector: Detector, texts: list[str], prompt: str, model: str) -> list
     return [_body(a) for a in answers] if len(answers) == len(texts) else [None] * len(texts)
 
 
+def answered_once(detector: Detector, text: str, prompt: str, model: str) -> str | None:
+    """The usable answer to one text, asked once; None where the call failed."""
+    return _call(detector, [text], prompt, model)[0]
+
+
 def ask(
     texts: DataFrame, factory: Factory, prompt: str, model: str, attempts: int = ATTEMPTS,
     texts_per_call: int = TEXTS_PER_CALL, tasks: int | None = None,

@@ -17,10 +17,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from veil.operators import model as model_ops
 from veil.plans.large import mask_large
-from veil.plans.mask import askable, mask_answered, mask_sessions, with_transcripts
+from veil.operators.pairs import with_pairs
+from veil.plans.mask import askable, finish, mask_answered, mask_sessions, parsed, with_transcripts
 from veil.plans.outcome import latest, quarantine, too_large
 from veil.schema import ENVELOPE
 from veil.sources.envelopes import with_delivery_key
+from veil.streaming.remembered import Settings, remembered_answers
 
 PENDING = f"{ENVELOPE}, attempts INT"
 LARGE = f"{ENVELOPE}, session_name STRING"
@@ -190,6 +192,47 @@ def model_process(
     return process
 
 
+def remembered_stream(
+    envelopes: DataFrame, root: str, factory: model_ops.Factory, prompt: str, model: str,
+    tags: Column | None = None, settings: Settings = Settings(), on_unparsed: str = "quarantine",
+    remember: str | None = None, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Mask a stream with a model whose memo and retries are state of the stream.
+
+    Answers live for ``settings.ttl`` and are never scanned; messages whose call failed wait
+    in the state until a timer asks again, also without new input, and go to ``gave_up``
+    after ``settings.max_tries``. Messages without a session name go there at once. The
+    query runs until it is stopped. Needs :func:`veil.streaming.remembered.use_state_store`.
+    """
+    folders = Folders(root)
+    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    source = drop_repeats(envelopes, remember) if remember else envelopes
+    rows = with_transcripts(source)
+    askable_text = F.when(F.col("entries").isNotNull() & F.col("session_name").isNotNull(), F.col("text"))
+    fields = [f.name for f in envelopes.schema.fields]
+    messages = rows.select(F.to_json(F.struct(*fields), exact).alias("message"), askable_text.alias("text"))
+    answered = remembered_answers(messages, factory, prompt, model, settings)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        given = batch.select(F.from_json("message", ENVELOPE, exact).alias("m"), "response").select("m.*", "response")
+        done = finish(with_pairs(parsed(given), "response", tags), F.col("response").isNotNull(), on_unparsed).persist()
+        try:
+            write_batch(done.where("saved").select(
+                "session_name", "seq", "published", "log", F.size("pairs").alias("n_pairs")), folders.sessions, batch_id)
+            write_batch(quarantine(done), folders.quarantine, batch_id)
+            write_batch(too_large(done), folders.too_large, batch_id)
+            write_batch(done.select("seq", "session_name", "disposition", "saved", "retry", "pair_status", "published",
+                                    F.current_timestamp().alias("finished")), folders.outcomes, batch_id)
+            write_batch(done.where("retry").select(*fields), folders.gave_up, batch_id)
+        finally:
+            done.unpersist()
+
+    return (
+        answered.writeStream.option("checkpointLocation", folders.checkpoint).outputMode("append")
+        .trigger(**(trigger or {"processingTime": "10 seconds"})).foreachBatch(write).start()
+    )
+
+
 def latest_sessions(spark: SparkSession, root: str) -> DataFrame:
     """Masked sessions written so far; the last message of a name wins."""
     return latest(spark.read.parquet(Folders(root).sessions))
