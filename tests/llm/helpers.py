@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 LONG = "word " * 40_000 + "x" * 30_000
 #: Columns that operators use inside, to clash with.
-CLASHING = ("h", "bucket", "fp", "digest", "rank", "n", "doc", "at", "kept", "score", "length", "label", "root", "node", "u", "v", "c", "n_lines", "n_removed", "predicted", "spans", "ids", "piece")
+CLASHING = ("h", "bucket", "fp", "digest", "rank", "n", "doc", "at", "kept", "score", "length", "label", "root", "node", "u", "v", "c", "n_lines", "n_removed", "predicted", "spans", "ids", "piece", "__print", "__digest", "__id", "__windows")
 
 
 def awkward(spark: SparkSession, more: list[tuple[int | None, str | None]] = ()) -> DataFrame:

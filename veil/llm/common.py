@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from veil.sources.tables import shared_folder, stored
 
-__all__ = ["delete", "joined", "keyed_text", "map_arrow", "ragged", "shared_folder", "slices", "stored"]
+__all__ = ["delete", "joined", "keyed_text", "map_arrow", "ragged", "shared_folder", "slices", "spare_name", "stored"]
 
 #: Bytes of text that a task works on at once; one longer text is taken alone.
 SLICE_BYTES = 4 << 20
@@ -26,6 +26,14 @@ def keyed_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def spare_name(name: str, df: DataFrame) -> str:
+    """``name``, with underscores until the table has no such column in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, limit: int = SLICE_BYTES) -> DataFrame:
     """Apply ``work`` to slices of Arrow batches, so that memory stays bounded."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

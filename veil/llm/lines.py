@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veil.llm.common import keyed_text, map_arrow, slices, stored
+from veil.llm.common import keyed_text, map_arrow, slices, spare_name, stored
 
 MIN_WORDS = 50
 
@@ -141,9 +141,10 @@ def without_windows(text: str, windows: list[tuple[int, int]]) -> tuple[str, int
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with its repeated line runs cut from ``text_col``, and ``n_lines`` and ``n_removed`` (in the place of columns of these names)."""
+    mark, least, cuts = (spare_name(n, docs) for n in ("__digest", "__id", "__windows"))
     copies = repeated_windows(docs, min_words, id_col, text_col)
-    of_doc = copies.groupBy("doc").agg(F.collect_list(F.struct("at", "m")).alias("__windows")).select(
-        F.col("doc.doc_id").alias("__id"), F.col("doc.digest").alias("__digest"), "__windows")
+    of_doc = copies.groupBy("doc").agg(F.collect_list(F.struct("at", "m")).alias(cuts)).select(
+        F.col("doc.doc_id").alias(least), F.col("doc.digest").alias(mark), cuts)
 
     def digest(batch: pa.RecordBatch) -> pa.Array:
         texts = batch.column(batch.num_columns - 1).to_pylist()
@@ -151,14 +152,14 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([digest(batch), *batch.columns], names=["__digest", *batch.schema.names])
+            yield pa.RecordBatch.from_arrays([digest(batch), *batch.columns], names=[mark, *batch.schema.names])
 
     others = [c for c in docs.columns if c not in (text_col, "n_lines", "n_removed")]
     rows = docs.select(*others, text_col)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    rows = rows.mapInArrow(keyed, f"__digest bigint, {fields}")
-    met = rows.join(of_doc, rows["__digest"].eqNullSafe(of_doc["__digest"]) & rows[id_col].eqNullSafe(of_doc["__id"]), "left")
-    met = met.select(*[rows[c] for c in others], rows[text_col], of_doc["__windows"])
+    rows = rows.mapInArrow(keyed, f"{mark} bigint, {fields}")
+    met = rows.join(of_doc, rows[mark].eqNullSafe(of_doc[mark]) & rows[id_col].eqNullSafe(of_doc[least]), "left")
+    met = met.select(*[rows[c] for c in others], rows[text_col], of_doc[cuts])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
