@@ -220,3 +220,51 @@ def test_crowded_shards_at_all_levels_lose_no_link(spark):
         return {v: find(v) for v in values}
 
     assert groups(links) == groups((a, b) for a in values for b in values if a < b and near(a, b))
+
+def sets_apart(rng, shared, own):
+    x = rng.integers(0, 1 << 64, shared + 2 * own, np.uint64)
+    return np.concatenate([x[:shared], x[shared : shared + own]]), np.concatenate([x[:shared], x[shared + own :]])
+
+
+def test_sketches_rule_out_only_what_is_not_similar():
+    """At 0.8 and above every pair passes, whatever the size; clearly below none does, up to a thousand shingles."""
+    rng = np.random.default_rng(11)
+    for shared, own in ((8, 1), (80, 10), (800, 100), (1600, 150), (8000, 1000), (40_000, 5000)):
+        for _ in range(40):
+            a, b = (np.frombuffer(simhash.parity_sketch(s), np.uint8) for s in sets_apart(rng, shared, own))
+            assert np.bitwise_count(a ^ b).sum() <= simhash.sketch_bound(np.array(2 * (shared + own)), 0.8)
+    for shared, own in ((75, 15), (750, 150)):
+        passed = 0
+        for _ in range(100):
+            a, b = (np.frombuffer(simhash.parity_sketch(s), np.uint8) for s in sets_apart(rng, shared, own))
+            passed += np.bitwise_count(a ^ b).sum() <= simhash.sketch_bound(np.array(2 * (shared + own)), 0.8)
+        assert passed <= 1
+
+
+def test_a_crowd_that_is_not_similar_enough_is_not_handed_on_in_pairs(spark):
+    """300 texts near one another, but below 0.8, and two that are similar to one of them."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    rows = []
+    for i in range(300):
+        text = list(base)
+        for k in rng.sample(range(0, 200, 5), 3):
+            text[k] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    for i in (300, 301):
+        rows.append((i, rows[7][1] + f" end{i}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    links = [(i, j) for i, a in rows for j, b in rows[:i] if jaccard(a, b) >= 0.8]
+    want = brute_components([i for i, _ in rows], links)
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(docs).collect()}
+    assert got == want
+    nodes = spark.createDataFrame(
+        [(i, i, len(s), simhash._wide_print(s), simhash.parity_sketch(s)) for i, t in rows for s in [simhash.shingle_set(t.encode())]],
+        "node bigint, label bigint, size bigint, fp binary, sketch binary")
+    radius = simhash.radius_of(0.8)
+    bits = simhash.sampled_bits(len(rows), radius)
+    plain = simhash.similar_candidates(nodes, radius, bits, 0.8, True).count()
+    sharp = {(min(r), max(r)) for r in simhash.similar_candidates(nodes.selectExpr("node", "label", "size", "concat(fp, sketch) AS fp"), radius, bits, 0.8, True).collect()}
+    near = {(min(p), max(p)) for p in links}
+    assert len(near - sharp) <= 0.05 * len(near)
+    assert len(sharp) <= 1.5 * len(near) + 50 and plain > 1.2 * len(sharp)

@@ -20,7 +20,11 @@ chosen bits, in as many tables as a pair at that radius needs to meet with proba
 the logarithm of the fingerprints, so shards keep their size. Prints give candidates only, from
 distinct shingles; a link is a pair whose shingle sets have the similarity, computed exactly.
 Two rounds test the nearest and the least candidate of each class of equal sets; a last one tests
-all candidates that are still in different groups.
+all candidates that are still in different groups. From the second round on, classes that have a
+candidate at all carry a parity sketch of their shingles too: a bit is the parity of the shingles
+that fall on it, so two sketches differ in as many bits as the sets differ in shingles, collisions
+aside. Candidates whose sketches rule the similarity out are not handed on, so that a group of
+texts that are all near each other, but not near enough, does not leave its task pair by pair.
 
 Results: a null text counts as empty; texts without words have fingerprint zero and link
 like any other. Rows may repeat. ``component_id`` is the least id that links reach,
@@ -39,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veil.llm.common import keyed_text, map_arrow, stored
+from veil.llm.common import keyed_text, map_arrow, spare_name, stored
 from veil.llm.components import components
 
 WORDS, RADIUS, SEED = 3, 2, 42
@@ -48,6 +52,8 @@ SIMILAR_WORDS, SIMILARITY, LANES = 5, 0.8, 4
 #: Fingerprints of a shard on average; probability that a pair at the radius meets; spreads of the
 #: distance between its mean and the radius.
 PER_SHARD, MEET, TAIL = 16, 0.97, 2.5
+#: Bits of a parity sketch; spreads above the mean up to which a pair of sketches passes.
+SKETCH, SKETCH_TAIL = 1024, 4.0
 #: Members up to which a shard is searched as one tree.
 SHARD = 2048
 BLOCKS = 4
@@ -99,6 +105,22 @@ def _wide_print(hashes: np.ndarray) -> bytes:
     return b"".join(out)
 
 
+def parity_sketch(hashes: np.ndarray) -> bytes:
+    """``SKETCH`` bits: the parity of the number of distinct shingles that fall on each."""
+    return np.packbits(np.bincount((hashes % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def sketch_bound(shingles: np.ndarray, similarity: float) -> np.ndarray:
+    """Differing bits up to which sketches of sets with so many shingles together may have the similarity.
+
+    Never below the shingles in which such sets can differ, unless that is more than ``SKETCH_TAIL``
+    spreads above the mean that collisions leave of them.
+    """
+    apart = shingles * ((1 - similarity) / (1 + similarity)) + 1e-6
+    share = (1 - (1 - 2 / SKETCH) ** apart) / 2
+    return np.minimum(apart, SKETCH * share + SKETCH_TAIL * np.sqrt(SKETCH * share * (1 - share)))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit number."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -317,7 +339,12 @@ def _large_shard(values: list[bytes], radius: int) -> list[tuple[int, int]]:
 
 
 def _cross(node: np.ndarray, label: np.ndarray, size: np.ndarray, x: np.ndarray, radius: int, least: float) -> Iterator[tuple]:
-    """Chunks (rows, ok, d): members of a shard against all its members of another label."""
+    """Chunks (rows, ok, d, inside): members of a shard against all its members of another label.
+
+    ``x`` has the prints, and after them the parity sketches, if there are any; ``d`` is the distance by
+    the sketch then.
+    """
+    x, odd = x[:, :LANES], x[:, LANES:]
     names, at, counts = np.unique(label, return_inverse=True, return_counts=True)
     rest = np.flatnonzero(at != counts.argmax())
     inside = np.zeros(len(x), bool)
@@ -328,15 +355,24 @@ def _cross(node: np.ndarray, label: np.ndarray, size: np.ndarray, x: np.ndarray,
         d = np.bitwise_count(x[rows][:, None] ^ x[None]).sum(2, dtype=np.int32)
         ok = (d <= radius) & (label[rows][:, None] != label[None])
         ok &= np.minimum(size[rows][:, None], size[None]) >= least * np.maximum(size[rows][:, None], size[None]) - 1e-6
+        if odd.shape[1]:
+            i, j = np.nonzero(ok)
+            for at in range(0, len(i), 1 << 15):
+                p, q = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
+                apart = np.bitwise_count(odd[rows[p]] ^ odd[q]).sum(1, dtype=np.int32)
+                d[p, q] = apart
+                ok[p, q] = apart <= sketch_bound(size[rows[p]] + size[q], least)
         yield rows, ok, d, inside
 
 
 def similar_candidates(nodes: DataFrame, radius: int, bits: np.ndarray, least: float, every: bool) -> DataFrame:
     """Pairs (a, b) of nodes of different ``label`` that share a shard, within ``radius`` bits.
 
-    ``nodes`` has ``node``, ``label``, ``size`` (of the shingle set) and ``fp``. With ``every`` all such
-    pairs, each once; else the nearest and the least partner of a node. Pairs whose sizes alone
-    rule out a similarity of ``least`` are left out.
+    ``nodes`` has ``node``, ``label``, ``size`` (of the shingle set) and ``fp``, the print with or without the
+    parity sketch behind it, alike in all rows. With ``every`` all such
+    pairs, each once; else the nearest and the least partner of a node in each shard, or a spanning
+    set of a shard above ``SHARD`` members. Pairs whose sizes or sketches rule out a similarity
+    of ``least`` are left out.
     """
     power = 1 << np.arange(bits.shape[1], dtype=np.int64)
     spread = np.zeros((len(bits), 64 * LANES), np.uint8)
@@ -347,7 +383,7 @@ def similar_candidates(nodes: DataFrame, radius: int, bits: np.ndarray, least: f
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                raw = np.frombuffer(b"".join(part.column(3).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                raw = np.frombuffer(b"".join(part.column(3).to_pylist()), np.uint8).reshape(part.num_rows, -1)[:, : 8 * LANES]
                 spread = np.unpackbits(raw, axis=1, bitorder="little")
                 keys = np.concatenate([spread[:, b] @ power for b in bits])
                 index = pa.array(np.tile(np.arange(part.num_rows), len(bits)))
@@ -360,6 +396,7 @@ def similar_candidates(nodes: DataFrame, radius: int, bits: np.ndarray, least: f
         if len(node) < 2 or (label == label[0]).all():
             return
         if not every and len(node) > SHARD and len(np.unique(label)) == len(label):
+            x = np.ascontiguousarray(x[:, :LANES])
             links = np.array(_large_shard([v.tobytes() for v in x], radius), np.int64).reshape(-1, 2)
             d = np.bitwise_count(x[links[:, 0]] ^ x[links[:, 1]]).sum(1, dtype=np.int32)
             yield node[links[:, 1]], node[links[:, 0]], d
@@ -371,7 +408,7 @@ def similar_candidates(nodes: DataFrame, radius: int, bits: np.ndarray, least: f
                 for k in range(0, len(i), 4096):
                     p, q = rows[i[k : k + 4096]], j[k : k + 4096]
                     # Only the first table in which a pair meets has it.
-                    apart = x[p] ^ x[q]
+                    apart = x[p, :LANES] ^ x[q, :LANES]
                     met = ~((apart[:, None] & masks[None, :t]) != 0).any(2)
                     new = ~met.any(1)
                     yield node[p[new]], node[q[new]], d[i[k : k + 4096], q][new]
@@ -449,7 +486,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def _shingle_rows(words: int, prints: bool):
-    """Map (doc_id, text, digest) to rows (doc_id, digest, cls, size, fp), or to (cls, shingles) once each in a slice."""
+    """Map (doc_id, text, digest) to rows (doc_id, digest, cls, size, fp), or to (cls, shingles, sketch) once each in a slice."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [shingle_set(t.encode(), words) for t in batch.column(1).to_pylist()]
         names = [xxhash.xxh3_128_digest(h.tobytes()) for h in found]
@@ -457,8 +494,10 @@ def _shingle_rows(words: int, prints: bool):
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(names, pa.binary()), pa.array([len(h) for h in found], pa.int64()), pa.array([_wide_print(h) for h in found], pa.binary())],
                 names=["doc_id", "digest", "cls", "size", "fp"])
-        once = {n: h.tobytes() for n, h in zip(names, found, strict=True)}
-        return pa.RecordBatch.from_arrays([pa.array(list(once), pa.binary()), pa.array(list(once.values()), pa.binary())], names=["cls", "shingles"])
+        once = dict(zip(names, found, strict=True))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(once), pa.binary()), pa.array([h.tobytes() for h in once.values()], pa.binary()), pa.array([parity_sketch(h) for h in once.values()], pa.binary())],
+            names=["cls", "shingles", "sketch"])
     return work
 
 
@@ -486,8 +525,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
             active = stored(nodes.join(ends, "node", "left_semi"), "simhash-active")
             needed = texts.join(active.select("digest").distinct(), "digest", "left_semi").select("doc_id", "text", "digest")
-            shingles = map_arrow(needed, _shingle_rows(words, False), "cls binary, shingles binary").dropDuplicates(["cls"])
-            sets = stored(shingles.join(active.select("cls", "node"), "cls").select("node", "shingles"), "simhash-sets")
+            shingles = map_arrow(needed, _shingle_rows(words, False), "cls binary, shingles binary, sketch binary").dropDuplicates(["cls"])
+            sets = stored(shingles.join(active.select("cls", "node"), "cls").select("node", "shingles", "sketch"), "simhash-sets")
+            active = stored(active.join(sets.select("node", "sketch"), "node").withColumn("fp", F.concat("fp", "sketch")).drop("sketch"), "simhash-sketched")
         new = stored(verified(pairs, sets, similarity), "simhash-links")
         links = new if links is None else links.unionAll(new)
         labels = components(links)
@@ -499,9 +539,10 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each group of ``similar_groups``: the one with the least id; of rows
     that share it the one with the least digest; rows that repeat both are one."""
+    mark, digest, least = (spare_name(n, docs) for n in ("__print", "__digest", "__id"))
     groups = similar_groups(docs, id_col, text_col, words, similarity)
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("group").agg(
-        F.min("digest").alias("__digest"), F.min("doc_id").alias("__id")).drop("group")
-    rows = docs.withColumn("__print", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    met = rows.join(kept, (rows["__print"] == kept["__digest"]) & rows[id_col].eqNullSafe(kept["__id"]), "left_semi")
-    return met.dropDuplicates(["__print", id_col]).drop("__print")
+        F.min("digest").alias(digest), F.min("doc_id").alias(least)).drop("group")
+    rows = docs.withColumn(mark, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    met = rows.join(kept, (rows[mark] == kept[digest]) & rows[id_col].eqNullSafe(kept[least]), "left_semi")
+    return met.dropDuplicates([mark, id_col]).drop(mark)
