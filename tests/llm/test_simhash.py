@@ -268,3 +268,25 @@ def test_a_crowd_that_is_not_similar_enough_is_not_handed_on_in_pairs(spark):
     near = {(min(p), max(p)) for p in links}
     assert len(near - sharp) <= 0.05 * len(near)
     assert len(sharp) <= 1.5 * len(near) + 50 and plain > 1.2 * len(sharp)
+
+
+def test_rows_made_by_a_crowd_do_not_grow_with_the_tables(spark):
+    """A pair leaves its first common table only; the partners found are those of all tables."""
+    rng = np.random.default_rng(13)
+    center = np.unpackbits(rng.integers(0, 256, 32, np.uint8))
+    prints = [np.packbits(center ^ (rng.random(256) < 0.05)).tobytes() for _ in range(200)]
+    nodes = spark.createDataFrame([(i, i, 100, p) for i, p in enumerate(prints)], "node bigint, label bigint, size bigint, fp binary")
+    radius = simhash.radius_of(0.8)
+    bits = simhash.sampled_bits(200, radius)
+    x = np.unpackbits(np.frombuffer(b"".join(prints), np.uint8).reshape(200, -1), axis=1, bitorder="little")
+    d = (x[:, None] != x[None]).sum(2)
+    met = np.any([(x[:, None, b] == x[None, :, b]).all(2) for b in bits], axis=0) & (d <= radius) & ~np.eye(200, dtype=bool)
+    want = set()
+    for a in range(200):
+        partners = np.flatnonzero(met[a])
+        for b in (partners[np.lexsort((partners, d[a, partners]))[0]], partners[0]):
+            want.add((min(a, int(b)), max(a, int(b))))
+    got = simhash.similar_candidates(nodes, radius, bits, 0.8, False)
+    assert {(r.a, r.b) for r in got.collect()} == want
+    every = [(r.a, r.b) for r in simhash.similar_candidates(nodes, radius, bits, 0.8, True).collect()]
+    assert len(every) == len(set((min(p), max(p)) for p in every)) == met.sum() // 2

@@ -391,6 +391,17 @@ def similar_candidates(nodes: DataFrame, radius: int, bits: np.ndarray, least: f
                     [pa.array(np.repeat(np.arange(len(bits), dtype=np.int32), part.num_rows)), pa.array(keys), *(c.take(index) for c in part.columns)],
                     names=["t", "key", "node", "label", "size", "fp"])
 
+    def first_met(t: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Which pairs of prints share a shard in no table before ``t``."""
+        apart, left, at = p ^ q, np.arange(len(p)), 0
+        while at < t and len(left):
+            some = masks[at : min(t, at + max(1, (1 << 13) // len(left)))]
+            left = left[((apart[left][:, None] & some[None]) != 0).any(2).all(1)]
+            at += len(some)
+        new = np.zeros(len(p), bool)
+        new[left] = True
+        return new
+
     def shard(t: int, parts: list[tuple]) -> Iterator[tuple]:
         node, label, size, x = (np.concatenate(c) for c in zip(*parts, strict=True)) if len(parts) > 1 else parts[0]
         if len(node) < 2 or (label == label[0]).all():
@@ -407,10 +418,7 @@ def similar_candidates(nodes: DataFrame, radius: int, bits: np.ndarray, least: f
                 i, j = np.nonzero(ok)
                 for k in range(0, len(i), 4096):
                     p, q = rows[i[k : k + 4096]], j[k : k + 4096]
-                    # Only the first table in which a pair meets has it.
-                    apart = x[p, :LANES] ^ x[q, :LANES]
-                    met = ~((apart[:, None] & masks[None, :t]) != 0).any(2)
-                    new = ~met.any(1)
+                    new = first_met(t, x[p, :LANES], x[q, :LANES])
                     yield node[p[new]], node[q[new]], d[i[k : k + 4096], q][new]
                 continue
             has = np.flatnonzero(ok.any(1))
@@ -419,7 +427,9 @@ def similar_candidates(nodes: DataFrame, radius: int, bits: np.ndarray, least: f
             rows, ok, d = rows[has], ok[has], d[has]
             row = np.arange(len(rows))
             for j in (np.where(ok, d, 1 << 20).argmin(1), np.where(ok, node[None], np.iinfo(np.int64).max).argmin(1)):
-                yield node[rows], node[j], d[row, j]
+                # Where the two met in an earlier table, that table has a partner as near, or as small, already.
+                new = first_met(t, x[rows, :LANES], x[j, :LANES])
+                yield node[rows][new], node[j][new], d[row, j][new]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, out, waiting = None, [], [], 0
