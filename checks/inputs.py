@@ -124,6 +124,9 @@ _SENTENCES = (
     f"'spelled ', {_spell('card', 16)}, ' and ', {_spell('ten', 10, '-')}, ' and ', {_spell('sin9', 9, '.')}",
     "'I moved to English, travel to Kitchen light; the thermostat reads 21 degrees at 10:30'",
     f"'Sure, ', who, ', I will write to user', {_K}, '@mail.com or call +1 (415) 555-', phone4",
+    f"'Long: ', repeat('first.second_', 6), {_K}, '@', repeat('sub.', 12), 'example.org, end'",
+    f"'apart ', {_spell('card', 16)}, ' ', {_spell('ten', 10)}, ' and ', {_spell('card15', 15, '-')}, '-', CAST((CAST(substr(card, 16, 1) AS BIGINT) + 1) % 10 AS STRING)",
+    "'My name is Anna Light. This is My Kitchen Light, this is The Front Door and I am Zoe ', chr(CAST(65 + k % 26 AS INT)), ' Lamp'",
 )
 
 

@@ -58,7 +58,7 @@ def count(v: str) -> str:
 
 # Operator -> list of (pattern, condition on v).
 RULES: dict[str, list[tuple[str, str]]] = {
-    "EMAIL_ADDRESS": [(R.EMAIL, "true")],
+    "EMAIL_ADDRESS": [(R.EMAIL, "true"), (R.EMAIL_LONG, "strpos(v, '@') > 65")],
     "URL": [(R.URL, "true")],
     "IBAN_CODE": [(R.IBAN_PLAIN, iban("v")), (R.IBAN_GROUPED, iban("v"))],
     "VIN": [(R.VIN, f"len(v) = 17 AND {like('v', '[A-Z]')} AND {like('v', '[0-9]')}")],
@@ -98,6 +98,7 @@ SPACED: dict[str, str] = {
     "US_ITIN": f"{_APART} AND {itin('v')}",
     "US_SSN": f"{_APART} AND {count('v')} = 9 AND NOT {itin('v')}",
     "PHONE_NUMBER": f"{_APART} AND {count('v')} IN (7, 8, 10, 11, 12, 13, 14, 15)",
+    "DEFAULT": f"{_APART} AND ({count('v')} > 19 OR {count('v')} > 15 AND NOT {luhn('v')})",
 }
 PRIORITY = {op.name: op.priority for op in OPERATORS}
 

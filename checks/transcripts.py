@@ -92,15 +92,18 @@ LINES = (
 # A prompt per customer: complete, without blank line, without block, or with
 # masks only.
 _N = "chr(10)"
-_OPS = (
-    f"concat('Intro ', name, {_N}, 'OPERATORS = {{', {_N}, "
+_BODY = (
+    f"concat('{{', {_N}, "
     f"CASE WHEN k % 5 = 3 THEN '' ELSE concat('\"DEFAULT\": {{\"type\": \"replace\", \"new_value\": \"[REDACTED]\"}},', {_N}, "
     f"'\"TEAM\": {{\"type\": \"replace\", \"new_value\": \"[TEAM_', CAST(k % 7 AS STRING), ']\"}},', {_N}, "
     f"'\"AGAIN\": {{\"type\": \"replace\", \"new_value\": \"[REDACTED]\"}},', {_N}) END, "
     "'\"PHONE_NUMBER\": {\"type\": \"mask\", \"masking_char\": \"*\", \"chars_to_mask\": ', "
-    f"CAST(k % 9 + 1 AS STRING), ', \"from_end\": true}},', {_N}, '}}', {_N}, "
-    f"CASE WHEN k % 5 = 1 THEN '' ELSE {_N} END, 'Rules for {{x}}.')"
+    f"CAST(k % 9 + 1 AS STRING), ', \"from_end\": true}},', {_N}, '}}', {_N})"
 ).replace("{{", "{").replace("}}", "}")
+_OPS = (
+    f"concat('Intro ', name, {_N}, 'OPERATORS = ', {_BODY}, "
+    f"CASE WHEN k % 5 = 1 THEN '' ELSE {_N} END, 'Rules for {{x}}.')"
+).replace("{{x}}", "{x}")
 PROMPT = f"CASE WHEN k % 5 = 2 THEN concat('No table for ', name) ELSE {_OPS} END"
 
 
@@ -110,12 +113,20 @@ def prompts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_CLEAN = f"regexp_replace(block, {q(optable.TRAILING_COMMA)}, '\\1', 'g')"
-PROMPTS = f"""prompts AS (SELECT k, {PROMPT} AS prompt
-  FROM (SELECT c_custkey AS k, c_name AS name FROM customer)),
-blocks AS (SELECT k, nullif(regexp_extract(prompt, {q(optable.BLOCK)}, 1), '') AS block FROM prompts),
-actions AS (SELECT k, unnest(json_keys(j)) AS name, unnest(json_extract(j, '$.*')) AS a
-  FROM (SELECT k, CAST({_CLEAN} AS JSON) AS j FROM blocks WHERE block IS NOT NULL))"""
+# The SQL knows what was planted and reads no prompt.
+PROMPTS = f"""prompts AS (SELECT c_custkey AS k FROM customer),
+blocks AS (SELECT k, CASE WHEN k % 5 IN (1, 2) THEN NULL ELSE concat({_BODY}, {_N}) END AS block FROM prompts),
+planted AS (SELECT k, unnest([
+    {{'name': 'DEFAULT', 'new_value': '[REDACTED]'}},
+    {{'name': 'TEAM', 'new_value': concat('[TEAM_', k % 7, ']')}},
+    {{'name': 'AGAIN', 'new_value': '[REDACTED]'}},
+    {{'name': 'PHONE_NUMBER', 'new_value': NULL}}]) AS a FROM blocks WHERE block IS NOT NULL),
+actions AS (SELECT k, a.name AS name, a.new_value AS new_value,
+    CASE WHEN a.name = 'PHONE_NUMBER' THEN 'mask' ELSE 'replace' END AS type,
+    CASE WHEN a.name = 'PHONE_NUMBER' THEN '*' END AS masking_char,
+    CASE WHEN a.name = 'PHONE_NUMBER' THEN CAST(k % 9 + 1 AS INT) END AS chars_to_mask,
+    CASE WHEN a.name = 'PHONE_NUMBER' THEN true END AS from_end
+  FROM planted WHERE k % 5 <> 3 OR a.name = 'PHONE_NUMBER')"""
 
 
 def operators_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -216,16 +227,12 @@ ORACLES = {
         "string_agg(line, '' ORDER BY turn, line) AS transcript FROM firsts GROUP BY session_id, turn // 256"),
     "operators_block": f"WITH {PROMPTS}\nSELECT k, block FROM blocks",
     "operators_table": (
-        f"WITH {PROMPTS}\nSELECT k, name, a ->> '$.type' AS type, a ->> '$.new_value' AS new_value, "
-        "a ->> '$.masking_char' AS masking_char, CAST(a ->> '$.chars_to_mask' AS INT) AS chars_to_mask, "
-        "CAST(a ->> '$.from_end' AS BOOLEAN) AS from_end FROM actions"),
-    "operators_load": (
-        f"WITH {PROMPTS}\nSELECT k, name, a ->> '$.type' AS type, a ->> '$.new_value' AS new_value "
-        "FROM actions"),
+        f"WITH {PROMPTS}\nSELECT k, name, type, new_value, masking_char, chars_to_mask, from_end FROM actions"),
+    "operators_load": f"WITH {PROMPTS}\nSELECT k, name, type, new_value FROM actions",
     "valid_tags": (
-        f"WITH {PROMPTS}\nSELECT p.k, t.tags FROM prompts p LEFT JOIN (SELECT k, "
-        "string_agg(DISTINCT tag, ',' ORDER BY tag) AS tags FROM (SELECT k, a ->> '$.new_value' AS tag "
-        "FROM actions) WHERE tag IS NOT NULL GROUP BY k) t ON p.k = t.k"),
+        f"WITH {PROMPTS}\nSELECT k, t.tags FROM prompts LEFT JOIN (SELECT k, "
+        "string_agg(DISTINCT new_value, ',' ORDER BY new_value) AS tags FROM actions "
+        "WHERE new_value IS NOT NULL GROUP BY k) t USING (k)"),
     "brevity_words": f"WITH {WORDS}\nSELECT * FROM words",
     "brevity_counts": f"WITH {WORDS}\nSELECT doc_id, word, n FROM counts",
     "brevity_dict": f"WITH {WORDS}\nSELECT doc_id, abbr, word FROM dict",

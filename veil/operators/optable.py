@@ -1,7 +1,8 @@
 """The operator table that a prompt text declares.
 
 A prompt names its operators in a block ``OPERATORS = {…}`` followed by a blank
-line. The block is cut out, freed of trailing commas and read as a map.
+line. The block is cut out, freed of trailing commas and read as a map. Of several
+braces before a blank line the last one ends the block.
 """
 
 from __future__ import annotations
@@ -11,10 +12,13 @@ from pyspark.sql import functions as F
 
 from veil.schema import OPERATOR_ROW, OPERATORS, Operator
 
-# Fixed patterns: the block, greedy up to the last brace before a blank line,
-# and a comma in front of a closing brace or at the end.
-BLOCK = r"\s*OPERATORS\s*=\s*(\{[\s\S]*\}\s*\n\s*\n)"
-TRAILING_COMMA = r",\s*(\}|$)"
+# How the block begins (fixed value of the format).
+OPENING = r"OPERATORS\s*=\s*\{"
+# White space is what can make a line blank.
+BLANKS = " \t\r\f\n"
+# A string, a sign, or a run of anything else. A quote that nothing closes stays a token,
+# so that the text stays unreadable.
+TOKEN = r"""("[^"\\]*(?:\\.[^"\\]*)*"|[{}\[\]:,"]|[^\s{}\[\]:,"]+)"""
 
 _ACTION = "STRUCT<type STRING, new_value STRING, masking_char STRING, chars_to_mask INT, from_end BOOLEAN>"
 
@@ -25,15 +29,30 @@ def read_prompts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def operators_block(prompt: Column) -> Column:
-    """The block of a prompt, NULL when there is none."""
-    return F.nullif(F.regexp_extract(prompt, BLOCK, 1), F.lit(""))
+    """The block of a prompt with the blank lines after it, NULL when there is none."""
+    opened = F.regexp_instr(prompt, F.lit(OPENING))
+    body = F.substring(prompt, opened, F.length(prompt))
+    # What follows each closing brace; the first piece is what comes before any.
+    pieces = F.split(F.substring(body, F.instr(body, "{"), F.length(body)), r"\}")
+    gap = F.transform(pieces, lambda p: F.substring(p, F.lit(1), F.length(p) - F.length(F.ltrim(p, F.lit(BLANKS)))))
+    lines = F.transform(gap, lambda g: F.size(F.split(g, "\n")) - 1)
+    last = F.array_max(F.filter(F.sequence(F.lit(1), F.size(pieces)), lambda k: (k > 1) & (F.get(lines, k - 1) > 1)))
+    kept = F.concat(F.array_join(F.slice(pieces, 1, last - 1), "}"), F.lit("}"))
+    # The blank lines end with their last line break.
+    after = F.concat(F.call_function("substring_index", F.get(gap, last - 1), F.lit("\n"), F.get(lines, last - 1)), F.lit("\n"))
+    return F.when((opened > 0) & last.isNotNull(), F.concat(kept, after))
+
+
+def without_trailing_commas(text: Column) -> Column:
+    """JSON text, token by token, without commas that a closing brace or nothing follows."""
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(1))
+    needed = F.filter(tokens, lambda t, k: (t != ",") | (F.coalesce(F.get(tokens, k + 1), F.lit("}")) != "}"))
+    return F.array_join(needed, "")
 
 
 def operators_map(prompt: Column) -> Column:
     """Operator name -> action; NULL without a readable block."""
-    return F.from_json(
-        F.regexp_replace(operators_block(prompt), TRAILING_COMMA, "$1"), f"MAP<STRING,{_ACTION}>"
-    )
+    return F.from_json(without_trailing_commas(operators_block(prompt)), f"MAP<STRING,{_ACTION}>")
 
 
 def valid_tags(prompt: Column) -> Column:

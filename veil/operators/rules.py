@@ -43,7 +43,12 @@ GAP = r"(?: number| no\.?| code| id)?(?: is| was|:|=|#){0,2} ?"
 WORD_EDGE = "(?:^|[^A-Za-z])"
 NUMBER_EDGE = "(?:^|[^0-9])"
 
-EMAIL = r"([A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,8}\.[A-Za-z]{2,})"
+# A domain name has at most 127 labels.
+DOMAIN = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,}"
+EMAIL = rf"([A-Za-z0-9][A-Za-z0-9._%+-]{{0,63}}@{DOMAIN})"
+# With more than 64 characters before the "@": starts where the run of them starts,
+# so that a long run without "@" is read once.
+EMAIL_LONG = rf"(?:^|[^A-Za-z0-9._%+-])[._%+-]*([A-Za-z0-9][A-Za-z0-9._%+-]*@{DOMAIN})"
 URL = (
     r"(?i)((?:(?:https?|ftps?|wss?|s3)://|www\.)"
     r"[^ \t\r\n<>\"]*[^ \t\r\n<>\".,;:!?'\)\]])"
@@ -105,7 +110,7 @@ USER_NAME = (
     r"([A-Z0-9][A-Z0-9._-]+[A-Z0-9])"
 )
 # One digit, a separator, one digit, … : a number written apart to hide it.
-SPACED = r"(?:^|[^0-9])([0-9](?:[ ._-][0-9]){6,18}[0-9]*)"
+SPACED = r"(?:^|[^0-9])([0-9](?:[ ._-][0-9]){6,}[0-9]*)"
 
 IPV4_CHECK = (
     r"^(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -144,6 +149,8 @@ _NINE = _digits_between(9, 9)
 
 RULES: tuple[Rule, ...] = (
     Rule("EMAIL_ADDRESS", EMAIL, ("@",), digits=0),
+    Rule("EMAIL_ADDRESS", EMAIL_LONG, ("@",), lambda v: f"instr({v}, '@') > 65", digits=0,
+         hint="[A-Za-z0-9._%+-]{64}@"),
     Rule("URL", URL, ("://", "www."), digits=0),
     Rule("IBAN_CODE", IBAN_PLAIN, (), iban_ok, digits=2, hint="[A-Z]{2}[0-9]{2}"),
     Rule("IBAN_CODE", IBAN_GROUPED, (), iban_ok, digits=2, hint="[A-Z]{2}[0-9]{2}"),
@@ -193,6 +200,9 @@ SPACED_RULES: tuple[Rule, ...] = (
     Rule("US_SSN", SPACED, (), _all(_SPACED_ONLY, _NINE, _not(is_itin)), digits=9),
     Rule("PHONE_NUMBER", SPACED, (), _all(
         _SPACED_ONLY, lambda v: f"{digit_count(v)} IN (7, 8, 10, 11, 12, 13, 14, 15)"), digits=7),
+    # Too long for all of these, or as long as a card but with a wrong check digit.
+    Rule("DEFAULT", SPACED, (), _all(
+        _SPACED_ONLY, lambda v: f"{digit_count(v)} > 15", _not(_all(_CARD_LENGTH, luhn_ok))), digits=16),
 )
 
 # Patterns of several rules, run once for all of them: name of the column that
@@ -216,12 +226,18 @@ LANGUAGE_WORDS = (
     "english", "french", "german", "spanish", "italian", "portuguese", "dutch",
     "chinese", "japanese", "korean", "arabic", "hindi", "russian", "polish",
 )
+ROOM_WORDS = (
+    "kitchen", "bedroom", "bathroom", "living room", "dining room", "guest room", "laundry room",
+    "hall", "hallway", "office", "garage", "garden", "basement", "attic", "balcony", "porch",
+    "patio", "nursery", "front", "back", "upstairs", "downstairs", "ceiling", "floor", "desk",
+)
 ALLOWED_WORDS = DEVICE_WORDS + UNIT_WORDS + LANGUAGE_WORDS
-# Time of day, a temperature or measurement, a timestamp, a name of a device
-# together with its room ("kitchen light").
+# Time of day, a temperature or measurement, a timestamp, a name of a device with
+# nothing but its rooms or an article in front ("kitchen light", not "Anna Light").
 ALLOWED_SHAPES = (
     r"(?i)^(?:[01]?[0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9])?(?: ?[ap]\.?m\.?)?$"
     r"|^-?[0-9]+(?:\.[0-9]+)? ?(?:°|degrees|c|f|k|m|cm|mm|km|kg|g|l|ml|w|kw|v)(?: ?[cfk])?$"
     r"|^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[t ][0-9:.]+z?)?$"
-    r"| (?:" + "|".join(DEVICE_WORDS) + r")s?$"
+    r"|^(?:(?:the|an?|my|our|your|this|that) )?(?:(?:" + "|".join(ROOM_WORDS) + r") )*"
+    r"(?:" + "|".join(DEVICE_WORDS) + r")s?$"
 )
