@@ -114,14 +114,15 @@ def judge_pages(
     spark = pages.sparkSession
     table = spark.createDataFrame(parse_rules(rules), "rule string, rule_host string, rule_path string, verdict string")
     rows = located(pages, id_col, url_col)
-    fits = fitting_rules(rows.select("host").distinct(), table)
+    # Written, as the scores are, so that the joins have plain exchanges on both sides: only such joins are split at a hot host.
+    fits = stored(fitting_rules(rows.select("host").distinct(), table), "host-rules")
     best = F.array_max(F.filter("fit", lambda r: F.startswith(F.col("path"), r["rule_path"])))
     ruled = stored(
         rows.join(fits, "host", "left").withColumn("best", best)
         .select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("ruled")), "ruled-pages")
     share = lambda verdict: F.avg(F.when(F.col("ruled") == verdict, 1.0).otherwise(0.0))
     seeds = ruled.where("host <> ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust"))
-    scores = propagate(seeds, host_links(pages, url_col, html_col))
+    scores = stored(propagate(seeds, host_links(pages, url_col, html_col)), "host-verdicts")
     blocked = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
     return ruled.join(scores, "host", "left").select(
         "page_id", "host", "path", "rule",
