@@ -47,7 +47,7 @@ def _redactions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parse_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return _redactions(spark, sf).select("session_id", F.explode(F.map_entries("m")).alias("e")).select(
+    return _redactions(spark, sf).select("session_id", F.explode("m").alias("e")).select(
         "session_id", F.col("e.key").alias("raw_key"))
 
 

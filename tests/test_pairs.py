@@ -81,3 +81,22 @@ def test_tags_of_a_prompt(spark, tmp_path):
 def test_missing_prompt_file_raises(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_prompts(spark, str(tmp_path / "none.txt")).count()
+
+
+def test_names_longer_than_the_json_reader_takes(spark):
+    """Names above 50,000 characters, with escapes, beside short, repeated and nested ones."""
+    long = 'quoted "x\\ \n é' * 6000
+    given = {"a": "[X]", long: "[Y]", "[PIN]": long + "!", "b": 5}
+    text = json.dumps({"redactions": given})
+    assert pairs_of(spark, text) == ("found", {"a": "[X]", long: "[Y]", long + "!": "[PIN]"})
+    again = text[:-2] + ', "a": "[Z]", ' + json.dumps(long) + ': "[W]"}}'
+    assert pairs_of(spark, again)[1] == {"a": "[Z]", long: "[W]", long + "!": "[PIN]"}
+    assert pairs_of(spark, json.dumps({"redactions": {"a": "[X]"}, long: {long: 1}})) == ("found", {"a": "[X]"})
+
+
+@pytest.mark.parametrize("broken", [
+    '{"redactions": {"%s" "[X]"}}', '{"redactions": {"%s": "[X]"}} x', '{"redactions": {"%s\u0001": "[X]"}}',
+    '{"redactions": {"%s\\q": "[X]"}}', '{"redactions": {"%s\n": "[X]"}}', '{"redactions": {%s: "[X]"}}',
+])
+def test_broken_text_with_a_long_name_stays_unread(spark, broken):
+    assert pairs_of(spark, broken % ("n" * 60_000))[0] == "unparsed"
