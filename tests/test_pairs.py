@@ -1,12 +1,15 @@
 """Repair and validation of model responses."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from veil.operators import pairs as P
-from veil.operators.optable import operators_block, read_prompts, valid_tags
+from veil.operators.optable import (
+    operators_block, operators_table, read_keyed_prompts, read_prompts, valid_tags, write_prompts,
+)
 
 # Keys that stand in the place of the replacement: tags, and masked values with four
 # plain characters in front and four stars at the end.
@@ -100,3 +103,24 @@ def test_names_longer_than_the_json_reader_takes(spark):
 ])
 def test_broken_text_with_a_long_name_stays_unread(spark, broken):
     assert pairs_of(spark, broken % ("n" * 60_000))[0] == "unparsed"
+
+
+def test_prompts_of_equal_keys_come_back_from_files(spark, tmp_path):
+    """Many prompts to a file: of one key, of none, with line breaks, and few files in all."""
+    prompt = f"OPERATORS = {TABLE}\n\nmore"
+    rows = spark.createDataFrame([(1, prompt), (1, prompt), (None, prompt), (3, "no table")] + [
+        (k, prompt) for k in range(4, 104)], "k long, prompt string").coalesce(2)
+    write_prompts(rows, str(tmp_path / "p"), ["k"])
+    assert len(list((tmp_path / "p").glob("part-*"))) == 2
+    read = read_keyed_prompts(spark, str(tmp_path / "p"), "k BIGINT")
+    got = [r["k"] for r in operators_table(read, ["k"]).where("name = 'DEFAULT'").collect()]
+    assert sorted(got, key=str) == sorted([1, 1, None, *range(4, 104)], key=str)
+
+
+def test_a_table_of_many_operators_is_read_in_time(spark):
+    """Every token is looked at once: 3000 operators took minutes when each token read the text again."""
+    body = "".join(f'"N{i}": {{"type": "replace", "new_value": "[T{i}]"}},\n' for i in range(3000))
+    df = spark.createDataFrame([("OPERATORS = {" + body + "}\n\nmore",)], "prompt string")
+    start = time.time()
+    assert len(df.select(valid_tags(F.col("prompt")).alias("t")).first()["t"]) == 3000
+    assert time.time() - start < 20
