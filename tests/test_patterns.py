@@ -1,11 +1,14 @@
 """Patterns of the rules in the form in which they run, and what the actions run."""
 
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import detection
 from veil.operators import detect as D
+from veil.operators.rewrite import mask_arguments
 from veil.operators.rules import RULES, SHARED, SPACED_RULES
 
 _CLASS = re.compile(r"\\.|\[(?:\\.|[^\]\\])*\]")
@@ -35,3 +38,14 @@ def test_an_action_runs_the_rules_of_its_operators_only(spark):
     made = detection.QUERIES["act_mask"](spark, "/root/testdata/sf0.001")
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert "swift|bic" not in plan and "routing|aba" not in plan
+
+
+def test_arguments_with_strings_and_pairs_in_number(spark):
+    """Pairs are looked up once per arguments, not once per string of them."""
+    text = "[" + ",".join(f'"s{i}"' for i in range(30_000)) + ',"v7 and \\u0076", 5]'
+    df = spark.createDataFrame([(text, [(f"v{i}", "[X]") for i in range(2_000)])],
+                               "t string, p array<struct<value string, replacement string>>")
+    start = time.time()
+    out = df.select(mask_arguments(F.col("t"), F.col("p")).alias("m")).first()["m"]
+    assert out == text.replace("v7 and \\u0076", "[X] and v")
+    assert time.time() - start < 8
