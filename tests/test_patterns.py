@@ -42,7 +42,7 @@ def test_an_action_runs_the_rules_of_its_operators_only(spark):
 
 def test_arguments_with_strings_and_pairs_in_number(spark):
     """Pairs are looked up once per arguments, not once per string of them."""
-    text = "[" + ",".join(f'"s{i}"' for i in range(30_000)) + ',"v7 and \\u0076", 5]'
+    text = "[" + ",".join(f'"s{i}"' for i in range(100_000)) + ',"v7 and \\u0076", 5]'
     df = spark.createDataFrame([(text, [(f"v{i}", "[X]") for i in range(2_000)])],
                                "t string, p array<struct<value string, replacement string>>")
     start = time.time()
