@@ -2,6 +2,7 @@
 
 import pytest
 
+from checks.transcripts import brevity_text
 from veil.operators.brevity import with_brief_text
 
 TEXTS = [
@@ -35,3 +36,12 @@ def test_brief_text(rows, i):
     want, dictionary = brief(TEXTS[i])
     assert rows[i]["brief"] == want
     assert [(d["abbr"], d["word"]) for d in rows[i]["dictionary"]] == dictionary
+
+
+def test_the_text_alone_needs_no_sorted_words(spark, tmp_path):
+    texts = [*TEXTS, " ".join(f"w{i * i % 997}" for i in range(20_000)), None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = brevity_text(spark, str(tmp_path))
+    assert {r["doc_id"]: r["brief"] for r in rows.collect()} == {i: t if t is None else brief(t)[0] for i, t in enumerate(texts)}
+    assert "sort_array" not in rows._jdf.queryExecution().executedPlan().toString()

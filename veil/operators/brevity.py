@@ -1,15 +1,19 @@
 """Word-abbreviating compression of texts, inside the row.
 
 Words that occur more than once become their first character and a running
-number. Everything is computed on the sorted array of words of one text:
-equal words are neighbours, so counts and first places need no shuffle and no
-exploded table of words, which would be many times larger than the texts.
+number. Counts and places are computed on the sorted array of words of one text:
+equal words are neighbours, so they need no shuffle and no exploded table of
+words, which would be many times larger than the texts.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veil.functions.pin import pinned
 
@@ -91,20 +95,38 @@ def with_dictionary(docs: DataFrame, text: str = "text", out: str = "dictionary"
     )}).drop(listed, starts)
 
 
-def with_brief_text(docs: DataFrame, text: str = "text", out: str = "brief") -> DataFrame:
-    """Add columns ``dictionary`` and ``out``, the text with abbreviated words.
+def _abbreviated(text: str) -> str:
+    """A text of words at single blanks, with the words abbreviated that occur more than once."""
+    spoken = text.split(" ")
+    times = Counter(spoken)
+    used: Counter[str] = Counter()
+    # A counter keeps the order of first appearance, by which the words of an initial are numbered.
+    for word, n in times.items():
+        initial = word[:1]
+        if n == 1 or "0" <= initial <= "9":
+            times[word] = word
+        else:
+            used[initial] += 1
+            times[word] = f"{initial}{used[initial]}"
+    return " ".join(map(times.__getitem__, spoken))
+
+
+def _brief(spoken: Column) -> Column:
+    def abbreviated(texts: pd.Series) -> pd.Series:
+        return texts.map(_abbreviated, na_action="ignore")
+
+    return F.pandas_udf(abbreviated, T.StringType())(F.array_join(spoken, " "))
+
 
-    Every word contributes its places, written short or in full; putting the
-    places in order gives the text without looking any word up.
+def brief(text: Column) -> Column:
+    """The text with abbreviated words.
+
+    Words are looked up by hash, text by text: sorting them as structs by word and again
+    by place takes several times as long as finding them.
     """
-    pieces = F.expr(
-        "sort_array(concat("
-        "flatten(transform(dictionary, d -> transform(d.places, "
-        "p -> named_struct('place', p, 'piece', d.abbr)))), "
-        "flatten(transform(filter(vocabulary, v -> size(v.places) = 1 OR "
-        "rlike(v.word, '^[0-9]')), v -> transform(v.places, "
-        "p -> named_struct('place', p, 'piece', v.word))))))"
-    )
-    return with_dictionary(docs, text).withColumn(
-        out, F.array_join(F.transform(pieces, lambda x: x["piece"]), " ")
-    )
+    return _brief(words(text))
+
+
+def with_brief_text(docs: DataFrame, text: str = "text", out: str = "brief") -> DataFrame:
+    """Add columns ``dictionary`` and ``out``, the text with abbreviated words."""
+    return with_dictionary(docs, text).withColumn(out, _brief(F.col("words")))
