@@ -108,3 +108,20 @@ def test_files_as_objects_and_sinks(spark, tmp_path):
         assert spark.read.format(fmt).load(out).count() == 2
         save_logs(rows, out, fmt, mode="overwrite")
         assert spark.read.format(fmt).load(out).count() == 1
+
+
+def test_a_batch_keeps_payloads_only_where_a_table_takes_them(spark, tmp_path):
+    source = str(tmp_path / "in")
+    publish(spark, source, [(1, "a", log("ann@example.org")), (2, "b", "broken"), (3, None, log("x"))])
+    kept, root = [], str(tmp_path / "out")
+
+    def process(rows, batch_id):
+        done = J.rules_process(rows, batch_id)
+        kept.extend(r.asDict() for r in J.without_saved_payloads(done).select("seq", "payload", "saved").collect())
+        return done
+
+    J.run_batch(E.read_envelopes(spark, source), 0, J.Folders(root), process)
+    assert {r["seq"]: r["payload"] for r in kept} == {1: None, 2: "broken", 3: log("x")}
+    assert [r["payload"] for r in spark.read.parquet(f"{root}/pending").collect()] == [log("x")]
+    assert [r["payload_head"] for r in spark.read.parquet(f"{root}/quarantine").collect()] == ["broken"]
+    assert spark.read.parquet(f"{root}/sessions").count() == 1
