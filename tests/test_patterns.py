@@ -6,7 +6,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from checks import detection
+from checks import detection, rewriting
+from veil.functions.jsontext import DEPTH
 from veil.operators import detect as D
 from veil.operators.rewrite import mask_arguments
 from veil.operators.rules import RULES, SHARED, SPACED_RULES
@@ -49,3 +50,17 @@ def test_arguments_with_strings_and_pairs_in_number(spark):
     out = df.select(mask_arguments(F.col("t"), F.col("p")).alias("m")).first()["m"]
     assert out == text.replace("v7 and \\u0076", "[X] and v")
     assert time.time() - start < 8
+
+
+def test_arguments_are_read_once(spark):
+    """The strings of arguments go through the reader once, for looking and for rewriting; before, once for each."""
+    df = spark.createDataFrame([('{"q":"v"}', [("v", "[X]")])], "t string, p array<struct<value string, replacement string>>")
+    plan = df.select(mask_arguments(F.col("t"), F.col("p")).alias("m"))._jdf.queryExecution().analyzed().toString()
+    nested = 2 * DEPTH  # strings inside strings are few and read where they are
+    assert plan.count("from_json(") == 1 + nested
+
+
+def test_spellings_are_made_once(spark):
+    """The spellings of a text are a column before they are rows; before, the generator made each part again for every use."""
+    plan = rewriting.QUERIES["mask_spellings"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(spelled" in plan and "explode(array(struct(spelling" not in plan
