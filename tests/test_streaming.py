@@ -125,3 +125,52 @@ def test_a_batch_keeps_payloads_only_where_a_table_takes_them(spark, tmp_path):
     assert [r["payload"] for r in spark.read.parquet(f"{root}/pending").collect()] == [log("x")]
     assert [r["payload_head"] for r in spark.read.parquet(f"{root}/quarantine").collect()] == ["broken"]
     assert spark.read.parquet(f"{root}/sessions").count() == 1
+
+
+def test_published_files_and_tables_are_compressed(spark, tmp_path):
+    """Deliveries take the disk twice; before, they were plain text."""
+    text = log("the same words again " * 5_000)
+    publish(spark, str(tmp_path / "in"), [(i, f"n{i}", text) for i in range(8)])
+    spark.read.text(str(tmp_path / "in")).write.mode("append").text(str(tmp_path / "in"), compression=E.COMPRESSION)
+    assert sum(f.stat().st_size for f in (tmp_path / "in").rglob("part-*")) < 2 * len(text)
+    assert E.read_envelopes(spark, str(tmp_path / "in")).where(F.col("payload") == text).count() == 16
+
+
+def test_nothing_stays_of_settled_batches(spark, tmp_path):
+    """Repeats are dropped across batches; before, what waited after each batch stayed for ever."""
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    first = [(0, "n0", "[]"), (9, None, "[]")]
+
+    def process(rows, batch_id):
+        name = E.session_name()
+        return E.with_defaults(rows).select(
+            "*", name.alias("session_name"), F.lit("ok").alias("disposition"), name.isNotNull().alias("saved"),
+            name.isNull().alias("retry"), F.lit("found").alias("pair_status"), F.array().alias("pairs"), F.col("payload").alias("log"))
+
+    for rows in (first, [(1, "n1", "[]")], first):
+        data = [(seq, None, "s", {"session_log_name": name} if name else {}, p) for seq, name, p in rows]
+        E.publish(spark.createDataFrame(data, ENVELOPE).coalesce(1), source)
+    J.mask_stream(E.stream_envelopes(spark, source, max_files_per_trigger=1), root, process, max_attempts=3).awaitTermination()
+    done = spark.read.parquet(f"{root}/sessions")
+    assert sorted(r.session_name for r in done.collect()) == ["n0", "n1"]
+    assert done.select("batch_id").distinct().count() > 1
+    tried = spark.read.parquet(f"{root}/outcomes").where("retry").orderBy("attempts").collect()
+    assert [r.attempts for r in tried] == list(range(1, len(tried) + 1)) and 1 <= len(tried) <= 3
+    left = [int(p.name.rpartition("=")[2]) for p in (tmp_path / "out" / "pending").glob("batch_id=*")]
+    assert len(left) <= 2 and not list((tmp_path / "out" / "kept").glob("batch_id=*"))
+
+
+def test_a_batch_is_not_kept_in_the_memory_of_executors(spark, tmp_path, monkeypatch):
+    publish(spark, str(tmp_path / "in"), [(1, "a", log("ann@example.org")), (2, None, log("x"))])
+    before, seen, usual = spark.sparkContext._jsc.getPersistentRDDs().size(), [], J.quarantine
+
+    def looked_at(done):
+        done.count()
+        seen.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        return usual(done)
+
+    monkeypatch.setattr(J, "quarantine", looked_at)
+    J.run_batch(E.read_envelopes(spark, str(tmp_path / "in")), 0, J.Folders(str(tmp_path / "out")), J.rules_process)
+    assert seen == [before]
+    kept = spark.read.parquet(str(tmp_path / "out" / "sessions")).collect()
+    assert [(r.session_name, r.n_pairs) for r in kept] == [("a", 1)]
